@@ -7,23 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_rotation, license_scan, line_dedup, ngram_join, pii
+from . import chat_rotation, decontam, html_template, lang_id, license_scan, line_dedup, mih, mixing, ngram_join, pii
 from .common import table
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.jaccard_components(table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"), declared=F.col("lang"), host=F.col("source"), carry={"doc_id": F.col("doc_id")})
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def op6_ann_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return mih.nearest(vectors, vectors.filter("vec_id % 50 = 0").select("vec_id"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat_rotation.rotate_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -35,7 +56,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_jaccard, op5_pii, op7_line_dedup, op9_chat_rotation, op10_license_scan)}
+    return {f.__name__: f for f in (
+        op1_html_extract, op2_ngram_jaccard, op3_lang_id, op4_source_mix, op5_pii, op6_ann_mih, op7_line_dedup, op8_decontaminate,
+        op9_chat_rotation, op10_license_scan)}
 
 
 SQL = {
