@@ -1,10 +1,71 @@
-"""Corpus pipeline."""
-STAGES: list = []
-ORACLE_SQL = None
+"""Corpus pipeline: language ID, line dedup, near-duplicate removal, decontamination, mixing.
 
+Each stage takes (spark, docs, sf_dir) with the columns of ``documents`` and returns them (the last one:
+ids with rates); each result is written before the next stage reads it.
+"""
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, f in STAGES:
-        docs = f(spark, docs, sf_dir)
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strataspark.llm import decontam, lang_id, line_dedup, mixing, ngram_join
+from strataspark.llm.common import shared_folder, table
+
+ROW = "__row"  # names a row by its id and text, so that null and repeated ids are told apart
+
+
+def _row():
+    return F.xxhash64("doc_id", "text")
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    return docs.withColumn(ROW, _row()).join(rows.select(ROW).distinct(), ROW, "left_anti").select(docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified; the rejected go."""
+    found = lang_id.identify(docs, declared=F.col("lang"), host=F.col("source"), carry={ROW: _row()})
+    return _without(docs, found.filter("not accepted"))
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later occurrences of repeated three-line windows go; n_chars follows the text."""
+    done = line_dedup.dedup_lines(docs)
+    return done.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked at five-word shingles and similarity 0.8 the document with the smallest id stays; rows that
+    repeat an id are one document, and a null id stays."""
+    groups = ngram_join.jaccard_components(docs, shingle=5, num=80, den=100)
+    gone = groups.filter("component_id < id").select(F.col("id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"), carry={ROW: _row()})
+    return _without(docs, leaks)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, source, lang, tokens, p_good, p_low, p_toxic, rate): the mix; documents of rate zero are out."""
+    carry = {c: F.col(c) for c in ("doc_id", "source", "lang")}
+    return mixing.mix_documents(docs, table(spark, sf_dir, "labels"), carry=carry).filter("rate > 0")
+
+
+STAGES = [("language", language), ("repeated_lines", repeated_lines), ("near_duplicates", near_duplicates),
+          ("benchmark_leaks", benchmark_leaks), ("mix", mix)]
+ORACLE_SQL = None  # classifiers and alignment are beyond SQL; tests hold the stages against brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
