@@ -16,7 +16,7 @@ from .textvec import CHUNK, mix, pieces, word_hashes
 DOMAINS = ["good", "low", "toxic"]
 TARGETS = {"good": 0.9, "low": 0.1, "toxic": 0.0}
 BITS, SAMPLE_ROWS, MIN_CHI2, MAX_FEATURES = 18, 8000, 12.0, 4000
-MAX_RATE, RIDGE, STEPS, TOLERANCE = 4.0, 0.02, 120, 1e-4
+MAX_RATE, RIDGE, STEPS, TOLERANCE = 4.0, 0.0005, 120, 1e-4
 
 
 def features(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
