@@ -14,8 +14,8 @@ from .textvec import mix, shingle_sets
 
 SKETCH_BITS = 18  # counters of a document-frequency sketch: 2 MB, whatever the corpus
 SLOT = 4096
-BLOCK = 1500  # members of a candidate group compared in one task
-BROADCAST_ROWS = 500_000
+BLOCK, BLOCK_SHINGLES = 1500, 2_000_000  # members of a candidate group, and their shingles, compared in one task
+BROADCAST_ROWS = 50_000
 SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -74,38 +74,87 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(one.sum(dtype=np.uint64).astype(np.int64)), int(two.sum(dtype=np.uint64).astype(np.int64))
 
 
-def shingle_features(docs: DataFrame, id_col: str, text_col: str, k: int, counts: list[np.ndarray], num: int, den: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 4 MB, fixed
-
+def shingle_features(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, n, f1, f2): set size and fingerprints; f1 names the set as a node."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 1000):
-                part = pdf.iloc[at: at + 1000]
-                out = []
-                for s in shingle_sets(part["t"].tolist(), k):
-                    p = prefixes(s, shared.value, num, den) if len(s) else [s, s]
-                    out.append((len(s), *fingerprint(s), p[0].view(np.int64), p[1].view(np.int64)))
-                rows = pd.DataFrame(out, columns=["n", "f1", "f2", "p1", "p2"])
-                rows.insert(0, "id", part["id"].to_numpy())
-                yield rows
+            out = [(len(s), *fingerprint(s)) for s in shingle_sets(pdf["t"].tolist(), k)]
+            yield pd.DataFrame(out, columns=["n", "f1", "f2"]).assign(id=pdf["id"].to_numpy())[["id", "n", "f1", "f2"]]
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInPandas(run, "id long, n long, f1 long, f2 long")
+
+
+POSTING = "edge boolean, key long, node long"
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInPandas(
-        run, "id long, n long, f1 long, f2 long, p1 array<long>, p2 array<long>")
 
+def combine(key: np.ndarray, node: np.ndarray) -> pd.DataFrame:
+    """Postings of a task: one row per key goes on, the other nodes of that key are linked to it here."""
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    same = np.concatenate([[False], key[1:] == key[:-1]])
+    other = same & np.concatenate([[False], node[1:] != node[:-1]])
+    at = np.flatnonzero(other)
+    edges = np.unique(np.stack([node[at], node[at - 1]], axis=1), axis=0) if len(at) else np.empty((0, 2), np.int64)
+    first = ~same
+    return pd.DataFrame({"edge": np.repeat([False, True], [first.sum(), len(edges)]),
+                         "key": np.concatenate([key[first], edges[:, 0]]), "node": np.concatenate([node[first], edges[:, 1]])})
+
+
+def shared_token_links(postings: DataFrame) -> DataFrame:
+    """(a, b) links that connect all nodes of each key: neighbours in the key's sorted rows. Rows were combined in
+    each task before, so a key that a third of all documents hold has one row per task."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for pdf in batches:
+            edge, key, node = pdf["edge"].to_numpy(), pdf["key"].to_numpy(), pdf["node"].to_numpy()
+            a, b = [key[edge]], [node[edge]]
+            key, node = key[~edge], node[~edge]
+            if last is not None and len(key):
+                key, node = np.concatenate([[last[0]], key]), np.concatenate([[last[1]], node])
+            if len(key):
+                at = np.flatnonzero((key[1:] == key[:-1]) & (node[1:] != node[:-1]))
+                a.append(node[at + 1]), b.append(node[at])
+                last = key[-1], node[-1]
+            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-def shared_token_edges(postings: DataFrame, keys: list[str]) -> DataFrame:
-    """Links from each node that shares a token to the smallest node with that token."""
-    hubs = (postings.groupBy(*keys).agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub <> top").drop("top"))
-    return postings.join(hubs, keys).filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    return postings.repartition("key").sortWithinPartitions("edge", "key", "node").mapInPandas(run, "a long, b long")
 
 
-def _verify(ids, ns, sets, p1, p2, block, first, second, num, den) -> list[tuple[int, int]]:
+def prefix_postings(rows: DataFrame, shared, order: int, k: int, num: int, den: int) -> DataFrame:
+    """Postings of the prefix shingles of rows (t[, f1, g]) under one order, within groups g if given."""
+    grouped = "g" in rows.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, nodes, size = [], [], 0
+        for pdf in batches:
+            want = zip(pdf["f1"].tolist(), pdf["g"].to_numpy().view(np.uint64)) if grouped else None
+            for s in shingle_sets(pdf["t"].tolist(), k):
+                f1, g = next(want) if grouped else (None, None)
+                if not len(s):
+                    continue
+                name = fingerprint(s)[0]
+                if grouped and name != f1:
+                    continue  # another text under the same id
+                p = prefixes(s, shared.value, num, den)[order]
+                keys.append((mix(p ^ mix(np.array([g]))) if grouped else p).view(np.int64))
+                nodes.append(np.full(len(p), name))
+                size += len(p)
+                if size > 2_000_000:
+                    yield combine(np.concatenate(keys), np.concatenate(nodes))
+                    keys, nodes, size = [], [], 0
+        if size:
+            yield combine(np.concatenate(keys), np.concatenate(nodes))
+
+    return rows.mapInPandas(run, POSTING)
+
+
+def _verify(ids, comp, sets, p1, p2, block, first, second, num, den) -> list[tuple[int, int]]:
     """Links of a candidate group that join its members: for each member, those not yet connected with it that
     share a prefix token under both orders are compared with it exactly."""
     m = len(ids)
-    ns = np.asarray(ns)
+    ns = np.array([len(s) for s in sets])
     block = np.asarray(block)
-    root = np.arange(m)
+    root = np.unique(comp, return_inverse=True)[1]
     values, rank = np.unique(np.concatenate(sets), return_inverse=True)
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     lists = []
@@ -142,37 +191,74 @@ def _verify(ids, ns, sets, p1, p2, block, first, second, num, den) -> list[tuple
     return links
 
 
-def verified_links(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) over rows (grp, first, second, ...) sorted so that a group's rows are adjacent."""
+def verified_links(rows: DataFrame, shared, k: int, num: int, den: int) -> DataFrame:
+    """(a, b) over rows (grp, first, second, node, comp, block, t), a task's groups one after the other."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, rows = None, []
+        key, held = None, {}
 
         def close():
-            seen = list({(r[3], r[8]): r for r in rows}.values())  # rows that repeat a document
-            if len(seen) < 2:
+            if len(held) < 2:
                 return None
-            cols = list(zip(*seen))
-            u = lambda xs: [np.asarray(x, np.int64).view(np.uint64) for x in xs]
-            found = _verify(cols[3], cols[4], u(cols[5]), u(cols[6]), u(cols[7]), cols[9], key[1], key[2], num, den)
+            names = list(held)
+            sets = list(shingle_sets([held[x][2] for x in names], k))
+            both = [prefixes(s, shared.value, num, den) for s in sets]
+            found = _verify(names, [held[x][0] for x in names], sets, [p[0] for p in both], [p[1] for p in both],
+                            [held[x][1] for x in names], key[1], key[2], num, den)
             return pd.DataFrame(found, columns=["a", "b"]) if found else None
 
         for pdf in batches:
             for r in pdf.itertuples(index=False, name=None):
                 if r[:3] != key:
-                    out = close() if rows else None
+                    out = close()
                     if out is not None:
                         yield out
-                    key, rows = r[:3], []
-                rows.append(r)
-        out = close() if rows else None
+                    key, held = r[:3], {}
+                held[r[3]] = r[4:]
+        out = close()
         if out is not None:
             yield out
 
     keys = ["grp", "first", "second"]
-    return (sets.select(*keys, "rep", "n", "s", "p1", "p2", "f1", "block").repartition(*keys).sortWithinPartitions(*keys)
+    return (rows.select(*keys, "node", "comp", "block", "t").repartition(*keys).sortWithinPartitions(*keys)
             .mapInPandas(run, "a long, b long"))
 
 
+def in_blocks(members: DataFrame) -> DataFrame:
+    """Members (node, comp, grp, n, t) with the block of each and how many blocks its group has."""
+    sizes = members.groupBy("grp").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    return members.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
+def group_links(members: DataFrame, shared, k: int, num: int, den: int) -> DataFrame:
+    """(id, component) over all members that are linked. First each block by itself, then one member of each
+    component, then, where a group of several blocks still has several components, all pairs of blocks."""
+    check = lambda rows: verified_links(rows, shared, k, num, den)
+    placed = cut(in_blocks(members))
+    links = cut(check(placed.withColumn("first", F.col("block")).withColumn("second", F.col("block"))))
+    known = connected_components(links)
+    wide = placed.filter("blocks > 1").drop("comp", "block", "blocks")
+    for last in (False, False, True):
+        if not wide.limit(1).count():
+            return known
+        now = (wide.join(known.withColumnRenamed("id", "node"), "node", "left")
+               .withColumn("comp", F.coalesce("component", "node")).drop("component"))
+        parts = now.groupBy("grp").agg((F.min("comp") < F.max("comp")).alias("open")).filter("open").select("grp")
+        now = cut(now.join(parts, "grp", "left_semi"))
+        if not now.limit(1).count():
+            return known
+        if last:
+            rows = in_blocks(now)
+            rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            rows = rows.withColumn("first", F.least("block", "o")).withColumn("second", F.greatest("block", "o")).filter("first < second")
+        else:
+            heads = now.groupBy("comp").agg(F.min("node").alias("node")).select("node")
+            rows = in_blocks(now.join(heads, "node", "left_semi"))
+            rows = rows.withColumn("first", F.col("block")).withColumn("second", F.col("block"))
+        links = cut(links.union(check(rows)))
+        known = connected_components(links)
+    return known
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                        num: int = 80, den: int = 100) -> DataFrame:
     """Group documents whose word-shingle sets have a Jaccard similarity of num/den or more.
@@ -184,47 +270,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Shingles are compared by 64-bit hashes.
 
     Method: (1) two document-frequency sketches over all documents give two global orders, rare shingles first;
-    (2) equal sets collapse to one representative; (3) representatives that share a prefix shingle under order 1
-    form groups (components of a star on each prefix shingle, so a shingle of n holders costs n links); (4) within
-    each group the same under order 2, so a group has passed both filters; (5) texts of groups of two or more are
-    joined once, their sets go to the group and are compared exactly, pairs that are already connected excepted.
-    Groups over BLOCK members are compared in pairs of blocks, each a task of bounded size. No pair of documents
-    is ever a row; only links that join parts are. All tables but the texts are a few numbers a document.
+    (2) equal sets are one node, named by a fingerprint; (3) nodes that share a prefix shingle under order 1 form groups:
+    each task links what it holds of a shingle and passes one row on, so neither copies nor frequent shingles pile up;
+    (4) within each group the same under order 2, so a group has passed both filters; (5) texts of what remains go to
+    their group and are compared exactly where both filters hold, pairs that are already connected excepted. Large
+    groups are compared in blocks of bounded size (see ``group_links``). No pair of documents is ever a row but for links
+    that join parts. Texts of groups are joined once, by broadcast of their ids only below BROADCAST_ROWS.
     """
-    spark = docs.sparkSession
     counts = frequency_sketches(docs, text_col, shingle)
-    feats = cut(shingle_features(docs, id_col, text_col, shingle, counts, num, den))
-    classes = cut(feats.filter("n > 0 and id is not null").groupBy("n", "f1", "f2")
-                  .agg(F.min("id").alias("rep"), F.first("p1").alias("p1"), F.first("p2").alias("p2")))
-    group1 = connected_components(shared_token_edges(classes.select("rep", F.explode("p1").alias("tok")), ["tok"]))
-    left = cut(classes.join(group1.select(F.col("id").alias("rep"), F.col("component").alias("g1")), "rep"))
-    group2 = connected_components(shared_token_edges(left.select("rep", "g1", F.explode("p2").alias("tok")), ["g1", "tok"]))
-    members = left.join(group2.select(F.col("id").alias("rep"), F.col("component").alias("grp")), "rep")
-    sizes = members.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = cut(members.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("rep", "f1"), F.col("blocks")).cast("int")))
-    slim = members.select("rep", "f1", "f2", "grp", "n", "p1", "p2", "blocks", "block")
-    few = members.count() <= BROADCAST_ROWS // 10
-    ids = members.select("rep").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t"))
-    texts = texts.join(F.broadcast(ids) if few else ids, "rep", "left_semi")
-
-    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 1000):
-                part = pdf.iloc[at: at + 1000]
-                out = [(s.view(np.int64), *fingerprint(s)) for s in shingle_sets(part["t"].tolist(), shingle)]
-                rows = pd.DataFrame(out, columns=["s", "g1", "g2"])
-                rows.insert(0, "sid", part["rep"].to_numpy())
-                yield rows
-
-    sets = texts.mapInPandas(sets_of, "sid long, s array<long>, g1 long, g2 long")
-    full = slim.join(sets, (F.col("rep") == F.col("sid")) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    full = (full.withColumn("o", other).withColumn("first", F.least("block", "o")).withColumn("second", F.greatest("block", "o")))
-    joined = connected_components(verified_links(full, num, den))
-    named = classes.select("n", "f1", "f2", "rep").join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    named = named.select(F.col("n").alias("cn"), F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.coalesce("component", "rep").alias("component"))
-    out = feats.select("id", "n", "f1", "f2").join(
-        named, (F.col("n") == F.col("cn")) & (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")), "left")
-    own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 4 MB, fixed
+    feats = cut(shingle_features(docs, id_col, text_col, shingle))
+    classes = feats.filter("n > 0 and id is not null").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"))
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t")).filter("rep is not null")
+    group1 = connected_components(shared_token_links(prefix_postings(texts.select("t"), shared, 0, shingle, num, den)))
+    left = cut(classes.join(group1.select(F.col("id").alias("f1"), F.col("component").alias("g")), "f1"))
+    few = left.count() <= BROADCAST_ROWS
+    held = cut(texts.join(F.broadcast(left) if few else left, "rep"))
+    group2 = connected_components(shared_token_links(prefix_postings(held.select("t", "f1", "g"), shared, 1, shingle, num, den)))
+    members = (held.join(group2.select(F.col("id").alias("f1"), F.col("component").alias("grp")), "f1")
+               .select(F.col("f1").alias("node"), F.col("f1").alias("comp"), "grp", "n", "t"))
+    known = group_links(members, shared, shingle, num, den)
+    ids = classes.join(known.select(F.col("id").alias("f1"), "component"), "f1", "left").withColumn("component", F.coalesce("component", "f1"))
+    least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = (ids.join(least, "component").select(F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.col("n").alias("cn"), "component_id"))
+    out = feats.join(named, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
+    own = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select("id", F.col("n").alias("n_shingles"), own.alias("component_id"))
