@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join with prefix filters under several global token orders."""
+"""N-gram Jaccard self-join by filters under many global token orders."""
 
 from __future__ import annotations
 
@@ -12,61 +12,30 @@ from pyspark.sql import functions as F
 from .common import connected_components, cut
 from .textvec import mix, shingle_sets
 
-SKETCH_BITS = 18  # counters of a document-frequency sketch: 2 MB, whatever the corpus
-SLOT = 4096
+TOGETHER = 3  # orders under which a pair must share its prefix token at the same time
+MISS = 1e-12  # chance that a pair at the least similarity shares them in none of the sets of orders
 BLOCK, BLOCK_SHINGLES = 1500, 2_000_000  # members of a candidate group, and their shingles, compared in one task
 BROADCAST_ROWS = 50_000
 SALT = np.uint64(0x5851F42D4C957F2D)
 
 
-def sketch_places(h: np.ndarray, order: int) -> np.ndarray:
-    x = h if order == 0 else mix(h ^ SALT)
-    return (x >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def orders(num: int, den: int) -> np.ndarray:
+    """Odd factors, one per global token order (a token's rank is its hash times the factor): TOGETHER times as many as make
+    a miss at the least similarity as unlikely as MISS."""
+    sets = max(1, int(np.ceil(np.log(MISS) / np.log(1 - min(0.999, num / den) ** TOGETHER))))
+    return mix(np.arange(1, sets * TOGETHER + 1, dtype=np.uint64) * SALT) | np.uint64(1)
 
 
-def frequency_sketches(docs: DataFrame, text_col: str, k: int) -> list[np.ndarray]:
-    """For each order, how many documents hold a shingle of each hash place: counted over all documents,
-    summed by slot, of fixed size."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((2, 1 << SKETCH_BITS), np.int64)
-        for pdf in batches:
-            held: list[np.ndarray] = []
-            size = 0
-            for s in [*shingle_sets(pdf["t"].tolist(), k), None]:
-                if s is not None:
-                    held.append(s)
-                    size += len(s)
-                if held and (s is None or size > 500_000):
-                    h = np.concatenate(held)
-                    for o in (0, 1):
-                        total[o] += np.bincount(sketch_places(h, o), minlength=1 << SKETCH_BITS)
-                    held, size = [], 0
-        yield pd.DataFrame({"slot": np.arange(2 * (1 << SKETCH_BITS) // SLOT), "counts": [c.tobytes() for c in total.reshape(-1, SLOT)]})
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, np.int64) for c in pdf["counts"])
-        return pd.DataFrame({"slot": pdf["slot"].iloc[:1], "counts": [total.tobytes()]})
-
-    schema = "slot int, counts binary"
-    # two steps, so that no task meets more than a few hundred partitions' counters
-    parts = docs.select(F.col(text_col).alias("t")).mapInPandas(count, schema).withColumn("lane", F.spark_partition_id() % 64)
-    some = parts.groupBy("slot", "lane").applyInPandas(lambda pdf: add(pdf[["slot", "counts"]]), schema)
-    rows = some.groupBy("slot").applyInPandas(add, schema).collect()
-    total = np.zeros((2 * (1 << SKETCH_BITS) // SLOT, SLOT), np.int64)
-    for r in rows:
-        total[r.slot] = np.frombuffer(r.counts, np.int64)
-    return list(total.reshape(2, -1))
-
-
-def prefixes(s: np.ndarray, counts: list[np.ndarray], num: int, den: int) -> list[np.ndarray]:
-    """The prefix of a sorted shingle set under each order. Order 1: rarest place first, then by hash;
-    order 2: the same over an independent sketch, then by falling hash."""
-    n = len(s)
-    p = n - -(-num * n // den) + 1
-    a = s[np.argsort(counts[0][sketch_places(s, 0)], kind="stable")[:p]]
-    back = s[::-1]
-    b = back[np.argsort(counts[1][sketch_places(back, 1)], kind="stable")[:p]]
-    return [a, b]
+def order_keys(s: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """For each set of TOGETHER orders the hash of the set's first tokens (prefixes of one) under them."""
+    first = np.full(len(factors), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for at in range(0, len(s), 4096):
+        first = np.minimum(first, np.multiply.outer(factors, s[at: at + 4096]).min(axis=1))
+    rows = mix(first).reshape(-1, TOGETHER)
+    key = np.arange(1, len(rows) + 1, dtype=np.uint64)
+    for j in range(TOGETHER):
+        key = mix(key * SALT + rows[:, j])
+    return key
 
 
 def fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -74,14 +43,15 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(one.sum(dtype=np.uint64).astype(np.int64)), int(two.sum(dtype=np.uint64).astype(np.int64))
 
 
-def shingle_features(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, n, f1, f2): set size and fingerprints; f1 names the set as a node."""
+def shingle_features(docs: DataFrame, id_col: str, text_col: str, k: int, factors: np.ndarray) -> DataFrame:
+    """(id, n, f1, f2, keys): set size, fingerprints (f1 names the set as a node) and candidate keys."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(len(s), *fingerprint(s)) for s in shingle_sets(pdf["t"].tolist(), k)]
-            yield pd.DataFrame(out, columns=["n", "f1", "f2"]).assign(id=pdf["id"].to_numpy())[["id", "n", "f1", "f2"]]
+            out = [(len(s), *fingerprint(s), (order_keys(s, factors) if len(s) else s).view(np.int64)) for s in shingle_sets(pdf["t"].tolist(), k)]
+            yield pd.DataFrame(out, columns=["n", "f1", "f2", "keys"]).assign(id=pdf["id"].to_numpy())[["id", "n", "f1", "f2", "keys"]]
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInPandas(run, "id long, n long, f1 long, f2 long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInPandas(
+        run, "id long, n long, f1 long, f2 long, keys array<long>")
 
 
 POSTING = "edge boolean, key long, node long"
@@ -120,46 +90,34 @@ def shared_token_links(postings: DataFrame) -> DataFrame:
     return postings.repartition("key").sortWithinPartitions("edge", "key", "node").mapInPandas(run, "a long, b long")
 
 
-def prefix_postings(rows: DataFrame, shared, order: int, k: int, num: int, den: int) -> DataFrame:
-    """Postings of the prefix shingles of rows (t[, f1, g]) under one order, within groups g if given."""
-    grouped = "g" in rows.columns
-
+def key_postings(feats: DataFrame) -> DataFrame:
+    """Postings (key, node) of all candidate keys, combined in each task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, nodes, size = [], [], 0
         for pdf in batches:
-            want = zip(pdf["f1"].tolist(), pdf["g"].to_numpy().view(np.uint64)) if grouped else None
-            for s in shingle_sets(pdf["t"].tolist(), k):
-                f1, g = next(want) if grouped else (None, None)
-                if not len(s):
-                    continue
-                name = fingerprint(s)[0]
-                if grouped and name != f1:
-                    continue  # another text under the same id
-                p = prefixes(s, shared.value, num, den)[order]
-                keys.append((mix(p ^ mix(np.array([g]))) if grouped else p).view(np.int64))
-                nodes.append(np.full(len(p), name))
-                size += len(p)
-                if size > 2_000_000:
-                    yield combine(np.concatenate(keys), np.concatenate(nodes))
-                    keys, nodes, size = [], [], 0
+            if not len(pdf):
+                continue
+            keys.append(np.concatenate(pdf["keys"].to_numpy()))
+            nodes.append(np.repeat(pdf["f1"].to_numpy(), pdf["keys"].map(len)))
+            size += len(keys[-1])
+            if size > 2_000_000:
+                yield combine(np.concatenate(keys), np.concatenate(nodes))
+                keys, nodes, size = [], [], 0
         if size:
             yield combine(np.concatenate(keys), np.concatenate(nodes))
 
-    return rows.mapInPandas(run, POSTING)
+    return feats.filter("n > 0").select("f1", "keys").mapInPandas(run, POSTING)
 
 
-def _verify(ids, comp, sets, p1, p2, block, first, second, num, den) -> list[tuple[int, int]]:
+def _verify(ids, comp, sets, keys, block, first, second, num, den) -> list[tuple[int, int]]:
     """Links of a candidate group that join its members: for each member, those not yet connected with it that
-    share a prefix token under both orders are compared with it exactly."""
+    agree under some set of orders are compared with it exactly."""
     m = len(ids)
     ns = np.array([len(s) for s in sets])
     block = np.asarray(block)
     root = np.unique(comp, return_inverse=True)[1]
     values, rank = np.unique(np.concatenate(sets), return_inverse=True)
-    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    lists = []
-    for p in (p1, p2):
-        lists.append((np.searchsorted(values, np.concatenate(p)), np.concatenate([[0], np.cumsum([len(x) for x in p])])))
+    at = np.concatenate([[0], np.cumsum(ns)])
     flag = np.zeros(len(values), bool)
     links = []
     for i in range(m - 1):
@@ -167,22 +125,13 @@ def _verify(ids, comp, sets, p1, p2, block, first, second, num, den) -> list[tup
         may[: i + 1] = False
         if first != second:
             may &= block != block[i]
-        for r, o in lists:
-            if not may.any():
-                break
-            own = r[o[i]: o[i + 1]]
-            flag[own] = True
-            may &= np.logical_or.reduceat(flag[r], o[:-1])
-            flag[own] = False
-        if not may.any():
+        picked = np.flatnonzero(may)
+        picked = picked[(keys[picked] == keys[i]).any(axis=1)]
+        if not len(picked):
             continue
         own = rank[at[i]: at[i + 1]]
         flag[own] = True
-        picked = np.flatnonzero(may)
-        if len(picked) * 4 < m:
-            both = np.array([np.count_nonzero(flag[rank[at[j]: at[j + 1]]]) for j in picked])
-        else:
-            both = np.add.reduceat(flag[rank], at[:-1], dtype=np.int64)[picked]
+        both = np.array([np.count_nonzero(flag[rank[at[j]: at[j + 1]]]) for j in picked])
         flag[own] = False
         for j in picked[den * both >= num * (ns[i] + ns[picked] - both)]:
             links.append((ids[i], ids[j]))
@@ -191,19 +140,22 @@ def _verify(ids, comp, sets, p1, p2, block, first, second, num, den) -> list[tup
     return links
 
 
-def verified_links(rows: DataFrame, shared, k: int, num: int, den: int) -> DataFrame:
+def verified_links(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(a, b) over rows (grp, first, second, node, comp, block, t), a task's groups one after the other."""
+    factors = orders(num, den)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held = None, {}
 
         def close():
             if len(held) < 2:
                 return None
-            names = list(held)
-            sets = list(shingle_sets([held[x][2] for x in names], k))
-            both = [prefixes(s, shared.value, num, den) for s in sets]
-            found = _verify(names, [held[x][0] for x in names], sets, [p[0] for p in both], [p[1] for p in both],
-                            [held[x][1] for x in names], key[1], key[2], num, den)
+            named = zip(held, shingle_sets([x[2] for x in held.values()], k))
+            real = {x: s for x, s in named if len(s) and fingerprint(s)[0] == x}  # not another text under the same id
+            if len(real) < 2:
+                return None
+            found = _verify(list(real), [held[x][0] for x in real], list(real.values()), np.stack([order_keys(s, factors) for s in real.values()]),
+                            [held[x][1] for x in real], key[1], key[2], num, den)
             return pd.DataFrame(found, columns=["a", "b"]) if found else None
 
         for pdf in batches:
@@ -224,17 +176,21 @@ def verified_links(rows: DataFrame, shared, k: int, num: int, den: int) -> DataF
 
 
 def in_blocks(members: DataFrame) -> DataFrame:
-    """Members (node, comp, grp, n, t) with the block of each and how many blocks its group has."""
+    """Members (node, grp, n, ...) with the block of each and how many blocks its group has."""
     sizes = members.groupBy("grp").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     return members.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
 
 
-def group_links(members: DataFrame, shared, k: int, num: int, den: int) -> DataFrame:
-    """(id, component) over all members that are linked. First each block by itself, then one member of each
-    component, then, where a group of several blocks still has several components, all pairs of blocks."""
-    check = lambda rows: verified_links(rows, shared, k, num, den)
-    placed = cut(in_blocks(members))
-    links = cut(check(placed.withColumn("first", F.col("block")).withColumn("second", F.col("block"))))
+def group_links(members: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(id, component) over all members (node, grp, n, rep) that are linked. First each block by itself, then one member
+    of each component, then, where a group of several blocks still has several components, all pairs of blocks."""
+    def check(rows: DataFrame) -> DataFrame:
+        few = rows.count() <= BROADCAST_ROWS
+        return verified_links(texts.join(F.broadcast(rows) if few else rows, "rep"), k, num, den)
+
+    own = lambda rows: rows.withColumn("first", F.col("block")).withColumn("second", F.col("block"))
+    placed = cut(in_blocks(members).withColumn("comp", F.col("node")))
+    links = cut(check(own(placed)))
     known = connected_components(links)
     wide = placed.filter("blocks > 1").drop("comp", "block", "blocks")
     for last in (False, False, True):
@@ -249,11 +205,10 @@ def group_links(members: DataFrame, shared, k: int, num: int, den: int) -> DataF
         if last:
             rows = in_blocks(now)
             rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            rows = rows.withColumn("first", F.least("block", "o")).withColumn("second", F.greatest("block", "o")).filter("first < second")
+            rows = cut(rows.withColumn("first", F.least("block", "o")).withColumn("second", F.greatest("block", "o")).filter("first < second"))
         else:
             heads = now.groupBy("comp").agg(F.min("node").alias("node")).select("node")
-            rows = in_blocks(now.join(heads, "node", "left_semi"))
-            rows = rows.withColumn("first", F.col("block")).withColumn("second", F.col("block"))
+            rows = cut(own(in_blocks(now.join(heads, "node", "left_semi"))))
         links = cut(links.union(check(rows)))
         known = connected_components(links)
     return known
@@ -269,30 +224,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ones, are linked with nothing. A null id has a null component; rows that repeat an id count as one document.
     Shingles are compared by 64-bit hashes.
 
-    Method: (1) two document-frequency sketches over all documents give two global orders, rare shingles first;
-    (2) equal sets are one node, named by a fingerprint; (3) nodes that share a prefix shingle under order 1 form groups:
-    each task links what it holds of a shingle and passes one row on, so neither copies nor frequent shingles pile up;
-    (4) within each group the same under order 2, so a group has passed both filters; (5) texts of what remains go to
-    their group and are compared exactly where both filters hold, pairs that are already connected excepted. Large
-    groups are compared in blocks of bounded size (see ``group_links``). No pair of documents is ever a row but for links
-    that join parts. Texts of groups are joined once, by broadcast of their ids only below BROADCAST_ROWS.
+    Method: (1) tokens are ranked under many global orders; a pair of documents is a candidate if it shares the prefix
+    token under TOGETHER different orders at the same time, for some of the sets of orders. There are so many sets
+    that a pair at the least similarity fails all of them with a chance of MISS, 1e-12, more alike pairs less still. (2) Equal sets
+    are one node, named by a fingerprint; (3) nodes that agree form groups: each task links what it holds of a key and
+    passes one row on, so neither copies nor frequent keys pile up; (4) texts of groups of two or more go to their
+    group and pairs that agree are compared exactly, pairs already connected excepted. Large groups are
+    compared in blocks of bounded size (see ``group_links``). No pair of documents is ever a row but for links that join
+    parts. The text table is joined by broadcast only below BROADCAST_ROWS members, counted before.
     """
-    counts = frequency_sketches(docs, text_col, shingle)
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 4 MB, fixed
-    feats = cut(shingle_features(docs, id_col, text_col, shingle))
+    feats = cut(shingle_features(docs, id_col, text_col, shingle, orders(num, den)))
     classes = feats.filter("n > 0 and id is not null").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"))
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t")).filter("rep is not null")
-    group1 = connected_components(shared_token_links(prefix_postings(texts.select("t"), shared, 0, shingle, num, den)))
-    left = cut(classes.join(group1.select(F.col("id").alias("f1"), F.col("component").alias("g")), "f1"))
-    few = left.count() <= BROADCAST_ROWS
-    held = cut(texts.join(F.broadcast(left) if few else left, "rep"))
-    group2 = connected_components(shared_token_links(prefix_postings(held.select("t", "f1", "g"), shared, 1, shingle, num, den)))
-    members = (held.join(group2.select(F.col("id").alias("f1"), F.col("component").alias("grp")), "f1")
-               .select(F.col("f1").alias("node"), F.col("f1").alias("comp"), "grp", "n", "t"))
-    known = group_links(members, shared, shingle, num, den)
+    groups = connected_components(shared_token_links(key_postings(feats)))
+    members = classes.join(groups.select(F.col("id").alias("f1"), F.col("component").alias("grp")), "f1").select(F.col("f1").alias("node"), "grp", "n", "rep")
+    known = group_links(members, texts, shingle, num, den)
     ids = classes.join(known.select(F.col("id").alias("f1"), "component"), "f1", "left").withColumn("component", F.coalesce("component", "f1"))
     least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = (ids.join(least, "component").select(F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.col("n").alias("cn"), "component_id"))
-    out = feats.join(named, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
+    out = feats.drop("keys").join(named, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select("id", F.col("n").alias("n_shingles"), own.alias("component_id"))
