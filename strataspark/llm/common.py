@@ -92,10 +92,14 @@ def local_forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(k, find(k)) for k in up], columns=["a", "b"])
 
 
+ONE_TASK_LINKS = 1_000_000
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) links between long ids -> (id, component), component being the smallest id reachable.
 
-    Links are first contracted within each task, then labels spread: each round a node takes the
+    Links are first contracted within each task. Up to ONE_TASK_LINKS of them, counted, are then joined in one
+    task of bounded memory; beyond that labels spread: each round a node takes the
     smallest of its own label, its neighbours' labels and the label of its label (pointer jumping), so
     chains shorten by half or more a round. Labels are aggregated before they are shuffled, so
     a star with millions of leaves costs one row per task. Null ends and self links are ignored; an
@@ -104,6 +108,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
     e = e.mapInPandas(local_forest, "a long, b long").filter("a <> b")
     e = e.repartition("b").mapInPandas(local_forest, "a long, b long").filter("a <> b")
+    e = cut(e)
+    if e.count() <= ONE_TASK_LINKS:  # 16 MB: one task joins them exactly
+        return cut(e.coalesce(1).mapInPandas(local_forest, "a long, b long").select(F.col("a").alias("id"), F.col("b").alias("component")))
     both = cut(e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
                  .select("id", F.least("id", "m").alias("label")))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut
+from .common import connected_components, cut, local_forest
 from .textvec import mix, shingle_sets
 
 TOGETHER = 3  # orders under which a pair must share its prefix token at the same time
@@ -58,16 +58,21 @@ POSTING = "edge boolean, key long, node long"
 
 
 def combine(key: np.ndarray, node: np.ndarray) -> pd.DataFrame:
-    """Postings of a task: one row per key goes on, the other nodes of that key are linked to it here."""
+    """Postings of a task: nodes that share a key are joined to the smallest of their component here, and one row per
+    key goes on, which names that smallest node."""
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     same = np.concatenate([[False], key[1:] == key[:-1]])
-    other = same & np.concatenate([[False], node[1:] != node[:-1]])
-    at = np.flatnonzero(other)
-    edges = np.unique(np.stack([node[at], node[at - 1]], axis=1), axis=0) if len(at) else np.empty((0, 2), np.int64)
-    first = ~same
-    return pd.DataFrame({"edge": np.repeat([False, True], [first.sum(), len(edges)]),
-                         "key": np.concatenate([key[first], edges[:, 0]]), "node": np.concatenate([node[first], edges[:, 1]])})
+    at = np.flatnonzero(same & np.concatenate([[False], node[1:] != node[:-1]]))
+    pairs = np.unique(np.stack([node[at], node[at - 1]], axis=1), axis=0) if len(at) else np.empty((0, 2), np.int64)
+    forest = pd.concat([pd.DataFrame({"a": [], "b": []}, dtype=np.int64), *local_forest(iter([pd.DataFrame(pairs, columns=["a", "b"])]))])
+    up = dict(zip(forest["a"].tolist(), forest["b"].tolist()))
+    edges = forest[forest["a"] != forest["b"]]
+    key, node = key[~same], node[~same]
+    if up:
+        node = np.array([up.get(x, x) for x in node.tolist()], np.int64)
+    return pd.DataFrame({"edge": np.repeat([False, True], [len(key), len(edges)]),
+                         "key": np.concatenate([key, edges["a"].to_numpy(np.int64)]), "node": np.concatenate([node, edges["b"].to_numpy(np.int64)])})
 
 
 def shared_token_links(postings: DataFrame) -> DataFrame:
@@ -193,7 +198,7 @@ def group_links(members: DataFrame, texts: DataFrame, k: int, num: int, den: int
     links = cut(check(own(placed)))
     known = connected_components(links)
     wide = placed.filter("blocks > 1").drop("comp", "block", "blocks")
-    for last in (False, False, True):
+    for last in (False, True):
         if not wide.limit(1).count():
             return known
         now = (wide.join(known.withColumnRenamed("id", "node"), "node", "left")
@@ -209,8 +214,10 @@ def group_links(members: DataFrame, texts: DataFrame, k: int, num: int, den: int
         else:
             heads = now.groupBy("comp").agg(F.min("node").alias("node")).select("node")
             rows = cut(own(in_blocks(now.join(heads, "node", "left_semi"))))
-        links = cut(links.union(check(rows)))
-        known = connected_components(links)
+        more = cut(check(rows))
+        if more.limit(1).count():
+            links = links.union(more)
+            known = connected_components(links)
     return known
 
 
