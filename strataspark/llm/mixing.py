@@ -16,7 +16,7 @@ from .textvec import CHUNK, mix, pieces, word_hashes
 DOMAINS = ["good", "low", "toxic"]
 TARGETS = {"good": 0.9, "low": 0.1, "toxic": 0.0}
 BITS, SAMPLE_ROWS, MIN_CHI2, MAX_FEATURES = 18, 8000, 12.0, 4000
-MAX_RATE, RIDGE, STEPS, TOLERANCE = 4.0, 0.0005, 120, 1e-4
+MAX_RATE, RIDGE, STEPS, TOLERANCE = 4.0, 0.0005, 40, 1e-5
 
 
 def features(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -137,36 +137,37 @@ def fit_rates(scored: DataFrame, targets: dict[str, float]) -> tuple[Column, lis
         1/2 sum_k ((sum_d r_d w_d p_dk - T_k) / W)^2 + RIDGE / 2 sum_d (w_d / W) (r_d - 1)^2,
     w being tokens and W their sum. The gradient by a row's rate, in that row's weight, is p_d . c + RIDGE (r_d - 1) with the
     residuals c = (sum - T) / W, one number per domain. Each step is one distributed aggregation; rates are not stored: every iterate
-    is 1 + p_d . u clipped at its bounds, where u gathers the residuals so far (accelerated steps on u,
-    restarted where the objective would rise).
+    is 1 + p_d . u projected to its bounds, where u gathers the steps so far. Steps are scaled by the inverse of the
+    K x K matrix sum w p p' / W over rows within their bounds (summed in the same pass) and halved while they do not help.
     """
     k = len(DOMAINS)
     weight = sum(targets.get(d, 0.0) for d in DOMAINS)
     goal = np.array([targets.get(d, 0.0) / weight for d in DOMAINS])
-    dot = lambda u: sum((F.col("p")[j] * float(u[j]) for j in range(k)), F.lit(0.0))
-    rate = lambda u: F.greatest(F.lit(0.0), F.least(F.lit(MAX_RATE), F.lit(1.0) + dot(u)))
-    total = float(scored.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first().n) or 1.0
-
-    def residual(u: np.ndarray) -> np.ndarray:
-        r = rate(u) * F.col("tokens")
-        row = scored.agg(*[F.coalesce(F.sum(r * F.col("p")[j]), F.lit(0.0)).alias(f"c{j}") for j in range(k)]).first()
-        return np.array([row[j] for j in range(k)]) / total - goal
-
-    u, before, t = np.zeros(k), np.zeros(k), 1.0
-    history = []
-    step = 1.0 / (1.0 + RIDGE)
-    while len(history) < STEPS:
-        ahead = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        v = u + (t - 1) / ahead * (u - before)
-        c = residual(v)
-        move = -step * (c + RIDGE * v)
-        history.append({"step": len(history), **{d: float(x) for d, x in zip(DOMAINS, c)}})
-        new = v + move
-        if move @ (new - u) < 0:  # momentum points uphill
-            ahead = 1.0
-        before, u, t = u, new, ahead
-        if np.abs(move).max() < TOLERANCE:
-            break
+    raw = lambda u: F.lit(1.0) + sum((F.col("p")[j] * float(u[j]) for j in range(k)), F.lit(0.0))
+    rate = lambda u: F.greatest(F.lit(0.0), F.least(F.lit(MAX_RATE), raw(u)))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
+
+    def residual(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = F.col("tokens").cast("double")
+        free = F.when((raw(u) > 0) & (raw(u) < MAX_RATE), w).otherwise(0.0)
+        sums = [zero(w), *[zero(rate(u) * w * F.col("p")[j]) for j in range(k)]]
+        sums += [zero(free * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(k)]
+        row = np.array(list(scored.agg(*[c.alias(f"c{i}") for i, c in enumerate(sums)]).first()), float)
+        total = row[0] or 1.0
+        return row[1: k + 1] / total - goal + RIDGE * u, row[k + 1:].reshape(k, k) / total
+
+    u = np.zeros(k)
+    g, gram = residual(u)
+    history = [{"step": 0, **dict(zip(DOMAINS, map(float, g - RIDGE * u)))}]
+    scale = 1.0
+    while len(history) < STEPS and np.abs(g).max() > TOLERANCE and scale > 1e-3:
+        new = u - scale * np.linalg.solve(gram + RIDGE * np.eye(k), g)
+        near, held = residual(new)
+        if np.linalg.norm(near) < np.linalg.norm(g):
+            u, g, gram, scale = new, near, held, min(1.0, 2 * scale)
+        else:
+            scale /= 2
+        history.append({"step": len(history), **dict(zip(DOMAINS, map(float, g - RIDGE * u)))})
     return rate(np.round(u, 6)), history
 
 
