@@ -47,7 +47,8 @@ def trigram_places(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, n
 
 def train(docs: DataFrame, text_col: str, label: Column, rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and log(P(trigram | language) / P(trigram)) per hashed place, from about ``rows`` labelled rows
-    picked by hash (the bound of the classifier's sample). The tables summed are of fixed size."""
+    picked by hash (the bound of the classifier's sample). Counts are summed before they leave the executors, so the
+    driver gets one table of fixed size per language however many tasks there are."""
     named = docs.select(F.col(text_col).alias("t"), label.alias("l")).filter("l is not null and length(t) > 0")
     total = named.count()
     share = min(1.0, rows / max(total, 1))
@@ -60,11 +61,12 @@ def train(docs: DataFrame, text_col: str, label: Column, rows: int = SAMPLE_ROWS
                 t = tables.setdefault(lang, np.zeros(1 << BITS, np.int64))
                 for _, places, _ in trigram_places(part["t"].tolist()):
                     t += np.bincount(places, minlength=1 << BITS)
-        yield pd.DataFrame([(k, v.tobytes()) for k, v in tables.items()], columns=["l", "counts"])
+        for lang, t in tables.items():
+            at = np.flatnonzero(t)
+            yield pd.DataFrame({"l": lang, "place": at, "n": t[at]})
 
-    sums: dict[str, np.ndarray] = {}
-    for r in sample.mapInPandas(count, "l string, counts binary").collect():
-        sums[r.l] = sums.get(r.l, 0) + np.frombuffer(r.counts, np.int64)
+    counts = sample.mapInPandas(count, "l string, place long, n long").groupBy("l", "place").agg(F.sum("n").alias("n"))
+    sums = {lang: np.bincount(part["place"], part["n"], minlength=1 << BITS) for lang, part in counts.toPandas().groupby("l")}
     langs = sorted(sorted(sums, key=lambda k: -sums[k].sum())[:MAX_LANGS])
     if not langs:
         return [], np.zeros((1 << BITS, 0), np.float32)
