@@ -24,3 +24,31 @@ def principal_frame(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
     """Centre and angle of the main axis of each key's points."""
     m = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("center_x"), F.avg(y).alias("center_y"), F.var_pop(x).alias("sxx"), F.var_pop(y).alias("syy"), F.covar_pop(x, y).alias("sxy"))
     return m.withColumn("angle", 0.5 * F.atan2(2 * F.col("sxy"), F.col("sxx") - F.col("syy"))).drop("sxx", "syy", "sxy")
+
+
+def plane(df: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """(keys, n, a, b, c) of the least-squares planes z = a x + b y + c, from moments; none where x and y lie on a line."""
+    m = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(f"m{v}") for v in "xyz"], F.var_pop("x").alias("sxx"), F.var_pop("y").alias("syy"),
+                              *[F.covar_pop(*p).alias(f"s{p}") for p in ("xy", "xz", "yz")])
+    det = F.col("sxx") * F.col("syy") - F.col("sxy") * F.col("sxy")
+    m = m.filter(F.col("n") >= least).withColumn("det", det).filter("det > 1e-6")
+    m = m.withColumn("a", F.expr("(sxz * syy - syz * sxy) / det")).withColumn("b", F.expr("(syz * sxx - sxz * sxy) / det"))
+    return m.withColumn("c", F.expr("mz - a * mx - b * my")).select(*keys, "n", "a", "b", "c")
+
+
+def robust_plane(df: DataFrame, keys: list[str], least: int, rounds: int = 1, scale: float = 2.5) -> DataFrame:
+    """(keys, n, a, b, c, rms): planes refitted ``rounds`` times to the rows within ``scale`` times 1.4826 median absolute residuals of the
+    last fit; n and rms are those of the rows kept. Rows are joined with one row per key and aggregated, never gathered."""
+    rows = df.select(*keys, "x", "y", "z")
+
+    def residuals(rows: DataFrame, fit: DataFrame) -> DataFrame:
+        return rows.join(fit.drop("n"), keys).withColumn("r", F.abs(F.expr("z - a * x - b * y - c")))
+
+    fit = plane(rows, keys, least)
+    for _ in range(rounds):
+        off = residuals(rows, fit)
+        mad = off.groupBy(*keys).agg(F.expr("percentile(r, 0.5)").alias("mad"))
+        rows = off.join(mad, keys).filter(F.col("r") <= scale * 1.4826 * F.col("mad") + 1e-9).select(*keys, "x", "y", "z")
+        fit = plane(rows, keys, 3)
+    rms = residuals(rows, fit).groupBy(*keys).agg(F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("rms"))
+    return fit.join(rms, keys)

@@ -49,3 +49,11 @@ def local_peaks(bins: DataFrame, least: int) -> DataFrame:
     bend = F.col("left") - 2 * F.col("n") + F.col("right")
     return (j.filter((F.col("n") >= least) & (F.col("n") > F.col("left")) & (F.col("n") >= F.col("right")))
             .select("bin", "n", (F.col("bin") + 0.5 * (F.col("left") - F.col("right")) / bend).alias("position")))
+
+
+def voxel_holdout(points: DataFrame, size: float, part: float) -> DataFrame:
+    """``points`` with a boolean column holdout: whole voxels go to the held-out side, by a hash of the voxel. No shuffle; the same
+    voxel goes to the same side in every run and file."""
+    name = F.concat_ws(",", *[cell(F.col(c), size) for c in "xyz"])
+    bucket = F.conv(F.substring(F.sha2(name, 256), 1, 8), 16, 10).cast("long") % 1_000_000
+    return points.withColumn("holdout", bucket < round(part * 1_000_000))

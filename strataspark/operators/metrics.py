@@ -58,3 +58,13 @@ def set_scores(found: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFram
 def ranked_consensus(df: DataFrame, keys: list[str], score: Column, tie: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(score.desc(), F.col(tie))
     return df.withColumn("rank", F.row_number().over(w)).withColumn("ties", F.count(F.lit(1)).over(Window.partitionBy(*keys, score)))
+
+
+def threshold_scores(distances: DataFrame, thresholds: list[float], keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, threshold, completeness, precision, fscore) of rows (keys, side, distance): side 'reference' measures reference to model,
+    'model' the other way. One aggregation over rows expanded by the few thresholds, combined before the shuffle."""
+    t = F.explode(F.array(*[F.lit(float(x)) for x in thresholds])).alias("threshold")
+    share = lambda side: F.avg(F.when(F.col("side") == side, (F.col("distance") <= F.col("threshold")).cast("double")))
+    out = distances.select(*keys, "side", "distance", t).groupBy(*keys, "threshold").agg(share("reference").alias("completeness"), share("model").alias("precision"))
+    both = F.col("completeness") + F.col("precision")
+    return out.withColumn("fscore", F.when(both == 0, 0.0).otherwise(2 * F.col("completeness") * F.col("precision") / both))

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def nearest_1d(left: DataFrame, right: DataFrame, left_value: str, right_value: str, right_id: str, width: float) -> DataFrame:
     """Each left row with the nearest right value (ties to the smaller value, then id). Values share buckets of ``width``; each
@@ -54,13 +56,13 @@ def components(edges: DataFrame) -> DataFrame:
         yield pd.DataFrame([(k, find(k)) for k in up], columns=["a", "b"], dtype=np.int64)
 
     e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInPandas(forest, "a long, b long")
-    both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("label")).checkpoint()
+    both = cut(e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("label")))
     while True:
         k = labels.select(F.col("id").alias("k"), F.col("label").alias("up"))
         near = both.join(k, both.b == k.k).select(F.col("a").alias("id"), F.col("up").alias("label"))
         jump = labels.join(k, labels.label == k.k).select("id", F.col("up").alias("label"))
-        new = labels.union(near).union(jump).groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("high")).checkpoint()
+        new = cut(labels.union(near).union(jump).groupBy("id").agg(F.min("label").alias("label")))
         same = new.join(labels.withColumnRenamed("label", "old"), "id").filter("label <> old").limit(1).count() == 0
         labels = new.select("id", "label")
         if same:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..operators import fits, gates, grid, intervals, metrics, registry, spatial
+from ..operators import fits, gates, grid, intervals, metrics, neighbours, registry, sequences, spatial
 from ..sources.tables import intake_profile, load, points, trajectory
 from ..streaming import windows
 
@@ -391,3 +391,92 @@ def exact_set_ops(s, d) -> DataFrame:
     sup, cus = load(s, d, "supplier"), load(s, d, "customer")
     a = sup.select(F.col("s_nationkey").alias("nation")).subtract(cus.filter("c_acctbal > 9000").select("c_nationkey"))
     return a.union(sup.filter("s_acctbal > 5000").select("s_nationkey").intersect(load(s, d, "nation").select("n_nationkey"))).distinct()
+
+
+B = f"(SELECT floor(x / 10)::BIGINT AS cx, floor(y / 20)::BIGINT AS cy, x, y, z FROM {P})"
+
+
+def plane_sql(rows: str, least: int) -> str:
+    return f"""(SELECT *, mz - a * mx - b * my AS c FROM (SELECT *, (sxz * syy - syz * sxy) / det AS a, (syz * sxx - sxz * sxy) / det AS b FROM (SELECT *, sxx * syy - sxy * sxy AS det FROM
+(SELECT cx, cy, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, var_pop(x) AS sxx, var_pop(y) AS syy, covar_pop(x, y) AS sxy, covar_pop(x, z) AS sxz, covar_pop(y, z) AS syz
+FROM {rows} GROUP BY 1, 2 HAVING count(*) >= {least})) WHERE det > 1e-6))"""
+
+
+@query(f"""WITH e AS (SELECT q.*, abs(q.z - a * q.x - b * q.y - c) AS r FROM {B} q JOIN {plane_sql(B, 6)} f ON q.cx = f.cx AND q.cy = f.cy),
+k AS (SELECT e.* FROM e JOIN (SELECT cx, cy, quantile_cont(r, 0.5) AS m FROM e GROUP BY 1, 2) m ON e.cx = m.cx AND e.cy = m.cy WHERE r <= 2.5 * 1.4826 * m + 1e-9)
+SELECT k.cx, k.cy, count(*) AS n, round(any_value(f.a), 4) AS slope_x, round(any_value(f.b), 4) AS slope_y, round(sqrt(avg((k.z - f.a * k.x - f.b * k.y - f.c) ** 2)), 4) AS rms
+FROM k JOIN {plane_sql('k', 3)} f ON k.cx = f.cx AND k.cy = f.cy GROUP BY 1, 2""")
+def plane_fit_residuals(s, d) -> DataFrame:
+    blocks = points(s, d).select(F.floor(F.col("x") / 10).alias("cx"), F.floor(F.col("y") / 20).alias("cy"), "x", "y", "z")
+    return fits.robust_plane(blocks, ["cx", "cy"], 6).select("cx", "cy", "n", r("a", "slope_x"), r("b", "slope_y"), r("rms"))
+
+
+def places(s, d) -> DataFrame:
+    """The first three dimensions of each vector as a point."""
+    return load(s, d, "embeddings").select(F.col("vec_id").alias("id"), "label", *[F.col("embedding")[i].cast("double").alias(a) for i, a in enumerate("xyz")])
+
+
+V = "(SELECT vec_id AS id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings)"
+NEAR = f"(SELECT a.id AS query_id, b.id AS id, a.label AS la, b.label AS lb, b.x, b.y, b.z, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS distance FROM {V} a, {V} b)"
+
+
+@query(f"SELECT query_id, rank, id, round(distance, 4) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM {NEAR} WHERE query_id <> id) WHERE rank <= 3")
+def knn_vectors(s, d) -> DataFrame:
+    p = places(s, d)
+    return neighbours.knn(p, p, 3, 0.05).select("query_id", "rank", "id", r("distance"))
+
+
+@query(f"SELECT query_id, count(*) AS n, round(avg(distance), 4) AS mean_distance, round(var_pop(x) + var_pop(y) + var_pop(z), 4) AS scatter FROM {NEAR} WHERE distance <= 0.1 GROUP BY 1")
+def radius_features(s, d) -> DataFrame:
+    p = places(s, d)
+    return neighbours.radius_features(p, p, 0.1).select("query_id", "n", r("mean_distance"), r("scatter"))
+
+
+@query()
+def spatial_dedupe_greedy(s, d) -> DataFrame:
+    return neighbours.greedy_dedupe(places(s, d), 0.05, "label")
+
+
+@query()
+def pair_self_join_greedy(s, d) -> DataFrame:
+    p = load(s, d, "part").select("p_brand", "p_size", F.col("p_partkey").alias("a"), F.col("p_retailprice").alias("va"))
+    other = p.withColumnsRenamed({"a": "b", "va": "vb"})
+    score = F.abs(F.col("va") - F.col("vb"))
+    pairs = p.join(other, ["p_brand", "p_size"]).filter("a < b").withColumn("score", score).filter(F.col("score").between(1, 200))
+    return neighbours.greedy_pairs(pairs).select("a", "b", r("score"))
+
+
+@query()
+def assignment_match(s, d) -> DataFrame:
+    p = places(s, d)
+    near = neighbours.radius_join(p.filter("id % 2 = 0"), p.filter("id % 2 = 1"), 0.06, ("label",))
+    return sequences.assign(near.select(F.col("query_id").alias("left"), F.col("id").alias("right"), F.col("distance").alias("cost"))).select("left", "right", r("cost"))
+
+
+def daily(s, d) -> DataFrame:
+    day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000)
+    return load(s, d, "events").select("user_id", day.alias("day"), F.col("event_id").alias("id"), "value", (F.col("value") / 10).alias("cost"))
+
+
+@query()
+def track_identity(s, d) -> DataFrame:
+    return sequences.identities(daily(s, d), "user_id", "day", "value", 15.0, 3)
+
+
+@query()
+def dp_sequence(s, d) -> DataFrame:
+    return sequences.best_sequence(daily(s, d), "user_id", "day", "value", "cost", 0.5, 2).select("user_id", "run", "day", "id", r("total"))
+
+
+@query("""WITH e AS (SELECT l_returnflag AS class, CASE WHEN l_linestatus = 'O' THEN 'reference' ELSE 'model' END AS side, abs(l_discount - l_tax) AS distance FROM lineitem),
+s AS (SELECT class, t AS threshold, avg(CASE WHEN distance <= t THEN 1.0 ELSE 0.0 END) FILTER (side = 'reference') AS c, avg(CASE WHEN distance <= t THEN 1.0 ELSE 0.0 END) FILTER (side = 'model') AS p FROM e, (VALUES (0.015::DOUBLE), (0.035::DOUBLE), (0.055::DOUBLE)) v(t) GROUP BY 1, 2)
+SELECT class, threshold, round(c, 4) AS completeness, round(p, 4) AS precision, round(CASE WHEN c + p = 0 THEN 0 ELSE 2 * c * p / (c + p) END, 4) AS fscore FROM s""")
+def threshold_fscore(s, d) -> DataFrame:
+    side = F.when(F.col("l_linestatus") == "O", "reference").otherwise("model")
+    e = load(s, d, "lineitem").select(F.col("l_returnflag").alias("class"), side.alias("side"), F.abs(F.col("l_discount") - F.col("l_tax")).alias("distance"))
+    return metrics.threshold_scores(e, [0.015, 0.035, 0.055], ("class",)).select("class", "threshold", r("completeness"), r("precision"), r("fscore"))
+
+
+@query(f"""SELECT row_key, row_no, ('0x' || substr(sha256(concat_ws(',', floor(x / 5)::BIGINT, floor(y / 5)::BIGINT, floor(z / 5)::BIGINT)), 1, 8))::BIGINT % 1000000 < 200000 AS holdout FROM {P}""")
+def voxel_hash_split(s, d) -> DataFrame:
+    return grid.voxel_holdout(points(s, d), 5.0, 0.2).select("row_key", "row_no", "holdout")
