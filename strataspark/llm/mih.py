@@ -160,7 +160,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
     hits = both.repartition("part", "cell", "lane").sortWithinPartitions("part", "cell", "lane", "tag").mapInPandas(search, "q long, found long, score double")
     hits = cut(hits.selectExpr("*", "row_number() over (partition by q order by score desc, found) as rn").filter(F.col("rn") <= limit).drop("rn"))
     few = wanted.select(F.col("id").alias("q")).join(hits.groupBy("q").count().filter(F.col("count") >= min(limit, count)), "q", "left_anti")
-    hits = hits.unionByName(_all_blocks(few.join(wanted, F.col("q") == F.col("id")).select("q", "vec"), coded, limit, count)).distinct()
+    few = cut(few)  # their hits within R are found again among all rows: the two are not mixed, as sums may differ in the last bit
+    hits = hits.join(few, "q", "left_anti").unionByName(_all_blocks(few.join(wanted, F.col("q") == F.col("id")).select("q", "vec"), coded, limit, count))
     named = hits.join(distinct.select(F.col("rep").alias("found"), "ids"), "found")
     flat = named.select("q", "score", F.explode("ids").alias("vec_id"))
     heads = distinct.select("h", "vec", F.col("rep").alias("q"))
