@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import ratio
+from .sequences import running_totals
 
 
 def confusion(df: DataFrame, truth: Column, guess: Column, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -60,6 +61,35 @@ def ranked_consensus(df: DataFrame, keys: list[str], score: Column, tie: str) ->
     return df.withColumn("rank", F.row_number().over(w)).withColumn("ties", F.count(F.lit(1)).over(Window.partitionBy(*keys, score)))
 
 
+def selective_risk(df: DataFrame, order: list[Column], correct: Column) -> DataFrame:
+    """(n, aurc, risk_at_half): the mean over all ranks of the error rate up to that rank, and that rate at half of the rows."""
+    rows = running_totals(df.withColumn("__wrong", F.when(correct, 0).otherwise(1)).withColumn("__one", F.lit(1)), order, {"__e": "__wrong", "__i": "__one"})
+    n = df.count()
+    risk = F.col("__e") / F.col("__i")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.avg(risk).alias("aurc"), F.max(F.when(F.col("__i") == (n + 1) // 2, risk)).alias("risk_at_half"))
+
+
+def class_scores(df: DataFrame, truth: str, guess: str) -> DataFrame:
+    """(class, tp, fp, fn, precision, recall, f1) of every class that is a truth or a guess: rows are counted by the pair first."""
+    cells = df.groupBy(F.col(truth).alias("t"), F.col(guess).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    part = lambda c, tp, fp, fn: F.struct(F.col(c).alias("class"), *[(F.col("n") * v).alias(k) for k, v in (("tp", tp), ("fp", fp), ("fn", fn))])
+    same = F.col("t") == F.col("g")
+    hit = same.cast("int")
+    each = cells.select(F.explode(F.when(same, F.array(part("t", hit, F.lit(0), F.lit(0)))).otherwise(F.array(part("g", F.lit(0), F.lit(1), F.lit(0)), part("t", F.lit(0), F.lit(0), F.lit(1))))).alias("x"))
+    out = each.select("x.*").groupBy("class").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    c = F.col
+    return out.select("class", "tp", "fp", "fn", ratio(c("tp"), c("tp") + c("fp")).alias("precision"), ratio(c("tp"), c("tp") + c("fn")).alias("recall"),
+                      ratio(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1"))
+
+
+def tied_rank_share(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, n, rank_share): the mean rank of tied rows from 0 to 1. Values are counted first, so the window runs over distinct ones."""
+    counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(key).orderBy(value)
+    counts = counts.withColumn("before", F.sum("n").over(w) - F.col("n")).withColumn("total", F.sum("n").over(Window.partitionBy(key)))
+    return counts.select(key, value, "n", ratio(F.col("before") + (F.col("n") - 1) / 2, F.col("total") - 1).alias("rank_share"))
+
+
 def threshold_scores(distances: DataFrame, thresholds: list[float], keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys, threshold, completeness, precision, fscore) of rows (keys, side, distance): side 'reference' measures reference to model,
     'model' the other way. One aggregation over rows expanded by the few thresholds, combined before the shuffle."""

@@ -1,0 +1 @@
+from . import catalogue, extended  # noqa: F401  (extended adds to the catalogue)
