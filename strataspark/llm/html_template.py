@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
 NAMED = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 MIN_PAGES, SHARE, MIN_CLASS = 3, 0.5, 2
+ARTICLE_PAGES = 5  # a passage of the article is lost with less ease than a line of a menu
 BROADCAST_TOKENS = 1_000_000
 
 
@@ -114,53 +116,181 @@ def token_key(kind: str, path: str, value: str) -> str:
     return f"{kind}{path}\x00{squeeze(value) if kind == 't' else value}"
 
 
+def layout_of(page: Column) -> Column:
+    """A page's layout: the containers it is built of, with their classes (digits apart), what stands in the article left out."""
+    frame = F.regexp_replace(F.coalesce(page, F.lit("")), r"(?is)(<(article|main)\b[^>]*>).*</\2\s*>", "$1")
+    tags = F.regexp_extract_all(frame, F.lit(r"(?i)<(?:body|div|section|article|main|header|footer|nav|aside|form)\b[^>]*>"), F.lit(0))
+    named = F.transform(tags, lambda t: F.concat_ws(".", F.lower(F.regexp_extract(t, "^<([A-Za-z]+)", 1)), F.regexp_replace(
+        F.regexp_extract(t, r"""(?i)\bclass\s*=\s*["']?([^"'>]*)""", 1), "[0-9]+", "")))
+    return F.concat_ws(" ", F.array_sort(F.array_distinct(named)))
+
+
+def hasher():
+    """A function from tokens to their hashes as Spark's xxhash64 gives them."""
+    import xxhash
+    cache: dict[str, int] = {}
+
+    def run(found: list[tuple]) -> list[int]:
+        if len(cache) > 200_000:
+            cache.clear()
+        out = []
+        for kind, path, value, *_ in found:
+            k = token_key(kind, path, value)
+            h = cache.get(k)
+            if h is None:
+                h = xxhash.xxh64_intdigest(k.encode("utf-8", "surrogatepass"), 42)
+                h = cache[k] = h - (1 << 64) if h >> 63 else h
+            out.append(h)
+        return out
+
+    return run
+
+
+def with_scopes(pages: DataFrame) -> DataFrame:
+    """``pages`` with by_host and by_layout: a page belongs to its host and to its layout within the host."""
+    return pages.withColumn("by_host", F.xxhash64("host")).withColumn("by_layout", F.xxhash64("host", layout_of(F.col("html"))))
+
+
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, page, token, n, at): how often each token stands on each page, and where first."""
+    """(by_host, by_layout, page, token, n, at): how often each token stands on each page, and where first."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = hasher()
         for pdf in batches:
             rows = []
-            for host, page, body in zip(pdf["host"], pdf["page"], pdf["html"]):
-                seen: dict[str, list[int]] = {}
-                for i, (kind, path, value, _, art, _) in enumerate(tokens(body)):
-                    if kind == "t" and (art or not value.strip()):
-                        continue  # what stands in the article is data
-                    seen.setdefault(token_key(kind, path, value), [0, i])[0] += 1
-                rows += [(host, page, k, n, i) for k, (n, i) in seen.items()]
-            yield pd.DataFrame(rows, columns=["host", "page", "key", "n", "at"])
+            for host, layout, page, body in zip(pdf["by_host"], pdf["by_layout"], pdf["page"], pdf["html"]):
+                found = [t for t in tokens(body) if t[0] != "t" or t[2].strip()]
+                seen: dict[int, list[int]] = {}
+                for i, h in enumerate(hashes(found)):
+                    seen.setdefault(h, [0, i])[0] += 1
+                rows += [(host, layout, page, h, n, i) for h, (n, i) in seen.items()]
+            yield pd.DataFrame(rows, columns=["by_host", "by_layout", "page", "token", "n", "at"])
+
+    return pages.select("by_host", "by_layout", "page", "html").mapInPandas(run, "by_host long, by_layout long, page long, token long, n int, at int")
+
+
+def unpack(flat) -> list[tuple[int, list[int]]]:
+    """(pages, tokens) of each class, from the one array that carries them."""
+    out, i = [], 0
+    flat = [] if flat is None else [int(x) for x in flat]
+    while i < len(flat):
+        out.append((flat[i], flat[i + 2: i + 2 + flat[i + 1]]))
+        i += 2 + flat[i + 1]
+    return out
+
+
+def out_of_order(keys: list[tuple[int, int]]) -> set[int]:
+    """Members (second parts) of keys that are not in a longest rising subsequence."""
+    if all(x < y for x, y in zip(keys, keys[1:])):
+        return set()
+    tops, ends, back = [], [], []
+    for i, k in enumerate(keys):
+        at = bisect.bisect_left(tops, k)
+        tops[at: at + 1], ends[at: at + 1] = [k], [i]
+        back.append(ends[at - 1] if at else -1)
+    kept, i = set(), ends[-1]
+    while i >= 0:
+        kept.add(i)
+        i = back[i]
+    return {k[1] for i, k in enumerate(keys) if i not in kept}
+
+
+def violations(hashes: list[int], classes: list[tuple[int, list[int]]]) -> set[int]:
+    """Tokens that keep the classes, the strongest first, from being ordered and nested on a page.
+
+    In each class the tokens follow each other in its order, once for each repetition; those that do not are named. With the
+    others, an instance of a class must lie within one slot of any other class or outside it; of two classes that
+    cross, all tokens of the weaker one are named.
+    """
+    where = {t: (c, k) for c, (_, members) in enumerate(classes) for k, t in enumerate(members)}
+    found = [where[h] for h in hashes if h in where]
+    keys: dict[int, list[tuple[int, int]]] = {}
+    times: dict[tuple[int, int], int] = {}
+    for c, k in found:
+        times[c, k] = times.get((c, k), -1) + 1
+        keys.setdefault(c, []).append((times[c, k], k))
+    wrong = {(c, k) for c, of in keys.items() for k in out_of_order(of)}
+    last = {c: max((k for _, k in of if (c, k) not in wrong), default=-1) for c, of in keys.items()}
+    crossed: set[int] = set()
+    open_: list[int] = []
+    for c, k in found:
+        if c in crossed or (c, k) in wrong:
+            continue
+        if c in open_:
+            while open_[-1] != c and c not in crossed:
+                weaker = max(c, open_[-1])
+                crossed.add(weaker)
+                open_.remove(weaker)
+            if c in crossed:
+                continue
+        else:
+            open_.append(c)
+        if k == last[c]:
+            open_.pop()
+    return {classes[c][1][k] for c, k in wrong} | {t for c in crossed for t in classes[c][1]}
 
-    found = pages.mapInPandas(run, "host string, page long, key string, n int, at int")
-    return found.select("host", "page", F.xxhash64("key").alias("token"), "n", "at")
 
+def attach(pages: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pages`` with classes_host and classes_layout. Classes are broadcast only if their summed size, counted before, is at
+    most BROADCAST_TOKENS; beyond that they are joined, a hot host being split by adaptive execution."""
+    total = classes.agg(F.coalesce(F.sum(F.size("classes") + 1), F.lit(0)).alias("n")).first().n
+    near = F.broadcast(classes) if total <= BROADCAST_TOKENS else classes
+    for by in ("host", "layout"):
+        pages = pages.join(near.select(F.col("scope").alias(f"by_{by}"), F.col("classes").alias(f"classes_{by}")), f"by_{by}", "left")
+    return pages
 
-def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the tokens of each host's template.
 
-    Tokens of a host with the same occurrence vector (the count on each of its pages, carried as a hash over
-    pages that hold the token) form an equivalence class. A class is valid if it stands on MIN_PAGES pages
-    and SHARE of the host's, holds MIN_CLASS tokens, and nests: its tokens have different first places, the spread of
-    their order over pages being nil. Valid classes are nested by place and together make the template. Every
-    aggregate is partial before the shuffle, so a host with a third of all pages costs each task one row per token.
+def host_templates(pages: DataFrame) -> DataFrame:
+    """(scope, classes): the template of each host and of each layout of a host, as classes one after the other (pages, size, tokens).
+
+    Tokens with the same occurrence vector (the count on each page of the scope, carried as a hash over pages that hold the
+    token) form an equivalence class, texts of the article included. A class is frequent if it stands on MIN_PAGES pages and
+    SHARE of the scope's and holds MIN_CLASS tokens. Every page is then read again: tokens that break the
+    order of their class on any page leave it, and of two classes that cross on any page the weaker one goes (see ``violations``), so what is
+    left is ordered and nested on every page. Aggregates are partial before the shuffle, so a host with a third of
+    all pages costs each task one row per token; a scope has few frequent tokens, as each takes up half of its pages.
     """
-    seen = occurrences(pages)
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    vectors = seen.groupBy("host", "token").agg(
-        F.expr("bit_xor(xxhash64(page, n))").alias("vector"), F.count(F.lit(1)).alias("held"),
-        F.min("at").alias("low"), F.max("at").alias("high"))
-    frequent = (vectors.join(sizes, "host").filter((F.col("held") >= MIN_PAGES) & (F.col("held") >= SHARE * F.col("pages"))))
-    classes = (frequent.groupBy("host", "vector", "held")
-               .agg(F.array_sort(F.collect_list(F.struct("low", "high", "token"))).alias("members"))
-               .filter(F.size("members") >= MIN_CLASS))
-    ordered = F.forall(F.sequence(F.lit(1), F.size("members") - 1), lambda i: F.col("members")[i]["high"] >= F.col("members")[i - 1]["high"])
-    valid = classes.filter(ordered)
-    return valid.groupBy("host").agg(F.flatten(F.collect_list("members.token")).alias("template"))
-
-
-def slots(body: str | None, known: set[int], hashes) -> str:
-    """The text of a page's remaining slots."""
+    scopes = F.explode(F.array("by_host", "by_layout")).alias("scope")
+    sizes = pages.select(scopes).groupBy("scope").agg(F.count(F.lit(1)).alias("pages"))
+    seen = occurrences(pages).select(scopes, "token", F.xxhash64("page", "n").alias("v"), "n", "at")
+    vectors = seen.groupBy("scope", "token").agg(
+        F.bit_xor("v").alias("vector"), F.count(F.lit(1)).alias("held"), F.sum("n").alias("n"), F.min("at").alias("low")).filter(F.col("held") >= MIN_PAGES)
+    frequent = vectors.join(sizes, "scope").filter(F.col("held") >= SHARE * F.col("pages"))
+    classes = (frequent.groupBy("scope", "vector", "held", "n")
+               .agg(F.array_sort(F.collect_list(F.struct("low", "token"))).alias("m")).filter(F.size("m") >= MIN_CLASS))
+    # strongest first: most pages, then fewest repetitions, then most tokens
+    strong = F.array_sort(F.collect_list(F.struct((-F.col("held")).alias("o"), "n", (-F.size("m")).alias("s"), F.col("m.token").alias("t"))))
+    ranked = cut(classes.groupBy("scope").agg(strong.alias("c")).select("scope", F.transform("c", lambda c: F.struct((-c["o"]).alias("held"), c["t"].alias("t"))).alias("c")))
+
+    def pack(c: Column) -> Column:
+        return F.flatten(F.transform(c, lambda x: F.concat(F.array(x["held"], F.size(x["t"]).cast("long")), x["t"]))).alias("classes")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, named = hasher(), set()
+        for pdf in batches:
+            known: dict[int, list] = {}
+            for host, layout, body, of_host, of_layout in zip(pdf["by_host"], pdf["by_layout"], pdf["html"], pdf["classes_host"], pdf["classes_layout"]):
+                found = hashes([t for t in tokens(body) if t[0] != "t" or t[2].strip()])
+                for scope, flat in ((host, of_host), (layout, of_layout)):
+                    if scope not in known:
+                        known[scope] = unpack(flat)
+                    named |= {(scope, t) for t in violations(found, known[scope])}
+            if len(named) > 100_000:
+                yield pd.DataFrame(list(named), columns=["scope", "token"])
+                named = set()
+        yield pd.DataFrame(list(named), columns=["scope", "token"], dtype="int64")
+
+    read = attach(pages.select("by_host", "by_layout", "html"), ranked.select("scope", pack(F.col("c"))))
+    broken = cut(read.mapInPandas(run, "scope long, token long").groupBy("scope").agg(F.collect_set("token").alias("gone")))
+    left = F.filter(F.transform("c", lambda c: F.struct(c["held"].alias("held"), F.array_except(c["t"], F.coalesce("gone", F.array().cast("array<long>"))).alias("t"))),
+                    lambda c: F.size(c["t"]) >= MIN_CLASS)
+    return ranked.join(broken, "scope", "left").select("scope", pack(left))
+
+
+def slots(body: str | None, known: set[int], sure: set[int], hashes) -> str:
+    """The text of a page's remaining slots; in the article only tokens of ``sure`` are template."""
     found = list(tokens(body))
     has_article = any(art and not out for _, _, _, _, art, out in found)
-    keys = [token_key(k, p, v) for k, p, v, *_ in found] if known else []
-    fixed = hashes(keys, known) if known else [False] * len(found)
+    keys = hashes(found) if known else [0] * len(found)
     blocks, run = [], []
 
     def flush():
@@ -169,9 +299,9 @@ def slots(body: str | None, known: set[int], hashes) -> str:
             blocks.append(s)
         run.clear()
 
-    for (kind, _, value, block, art, out), template in zip(found, fixed):
+    for (kind, _, value, block, art, out), key in zip(found, keys):
         if kind == "t":
-            if not out and (art or not has_article) and (art or not template):
+            if not out and (art or not has_article) and key not in (sure if art else known):
                 run.append(value)
         elif block:
             flush()
@@ -184,42 +314,28 @@ def slots(body: str | None, known: set[int], hashes) -> str:
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every page.
 
-    Templates are deduced for each host (see ``host_templates``); text tokens of a template go, the remaining slots
-    give text: those inside ``article`` or ``main`` where the page has one, else all that stand outside menus,
+    Templates are deduced for each host and each of its layouts (see ``host_templates``); text tokens of either template go,
+    in the article those of classes on ARTICLE_PAGES pages. Of the remaining slots
+    those inside ``article`` or ``main`` give text where the page has one, else all that stand outside menus,
     headers, footers, sidebars, notices, adverts, forms and comments (known by tag, role, class or id). Blocks follow
     the page and are joined by an empty line. A host of fewer than MIN_PAGES pages has no template, so
     structure alone decides there. Null or empty html, and pages without text, give an empty text; a null url belongs
-    to the host without name; repeated rows stay. Templates are broadcast only if their summed size, counted before, is at
-    most BROADCAST_TOKENS; beyond that they are joined, a hot host being split by adaptive execution.
+    to the host without name; repeated rows stay.
     """
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    base = base.withColumn("host", host_of(F.col("url")))
-    marked = base.select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    templates = cut(host_templates(marked))
-    total = templates.agg(F.coalesce(F.sum(F.size("template") + 1), F.lit(0)).alias("n")).first().n
-    joined = base.join(F.broadcast(templates) if total <= BROADCAST_TOKENS else templates, "host", "left")
+    base = with_scopes(base.withColumn("host", host_of(F.col("url"))))
+    marked = base.select("by_host", "by_layout", F.xxhash64("page_id", "url", "html").alias("page"), "html")
+    joined = attach(base.drop("host"), cut(host_templates(marked)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-        cache: dict[str, int] = {}
-
-        def hashes(keys: list[str], known: set[int]) -> list[bool]:
-            if len(cache) > 200_000:
-                cache.clear()
-            out = []
-            for k in keys:
-                h = cache.get(k)
-                if h is None:
-                    h = cache[k] = xxhash.xxh64_intdigest(k.encode("utf-8", "surrogatepass"), 42)
-                out.append((h - (1 << 64) if h >> 63 else h) in known)
-            return out
-
+        hashes = hasher()
         for pdf in batches:
             texts, sets = [], {}
-            for host, body, t in zip(pdf["host"], pdf["html"], pdf["template"]):
-                if host not in sets:
-                    sets[host] = set() if t is None else set(t)
-                texts.append(slots(body, sets[host], hashes))
+            for host, layout, body, *both in zip(pdf["by_host"], pdf["by_layout"], pdf["html"], pdf["classes_host"], pdf["classes_layout"]):
+                if (host, layout) not in sets:
+                    classes = [c for flat in both for c in unpack(flat)]
+                    sets[host, layout] = ({t for _, m in classes for t in m}, {t for n, m in classes if n >= ARTICLE_PAGES for t in m})
+                texts.append(slots(body, *sets[host, layout], hashes))
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
 
     kind = dict(base.dtypes)["page_id"]

@@ -39,6 +39,21 @@ def test_template_text_goes_without_article(spark):
     assert all(r.text == prose(r.page_id, 20) for r in got)
 
 
+def test_template_text_goes_inside_the_article_of_each_layout(spark):
+    body = lambda i: f"<html><body class=l{'abc'[i % 3]}><main><p>{prose(i, 12)}</p><p>Share layout {i % 3}</p><p>All rights held</p></main></body></html>"
+    rows = [(i, f"http://h/{i}", body(i)) for i in range(18)]
+    got = html_template.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 18 and all(r.text == prose(r.page_id, 12) for r in got)
+
+
+def test_classes_are_ordered_and_nested():
+    a, b = (9, [1, 2, 3]), (9, [4, 5])
+    assert html_template.violations([1, 4, 5, 2, 4, 5, 3], [a, b]) == set()
+    assert html_template.violations([1, 4, 2, 5, 3], [a, b]) == {4, 5}
+    assert html_template.violations([4, 1, 2, 5, 3], [a, b]) == {4, 5}
+    assert html_template.violations([1, 3, 2], [a]) in ({2}, {3})
+
+
 # op2
 def brute_components(rows, k, num, den):
     sets = {i: {tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))} if (w := (t or "").lower().split()) else set() for i, t in rows}
