@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 START, END = "<|im_start|>", "<|im_end|>"
 PART_TURNS = 512
+SPREAD = 32
 
 
 def speaker(role: Column) -> Column:
@@ -15,6 +18,29 @@ def speaker(role: Column) -> Column:
     return F.when(name == "", "unknown").otherwise(name)
 
 
+def parts_by_count(said: DataFrame, part_turns: int) -> DataFrame:
+    """(conv_id, part, m): the rows of each dialogue in its order (turn, who, what), cut every ``part_turns`` rows.
+
+    Equal rows are counted first. The others are dealt by ranges of the order (of texts the first letters; a window sorts the rest), so
+    no task holds a dialogue; the place of a row is a running count within its range plus its dialogue's totals in the ranges before.
+    """
+    order = ["conv_id", "turn", "who", "what"]
+    rows = said.groupBy(*order).agg(F.count(F.lit(1)).alias("n")).repartitionByRange("conv_id", "turn", "who", F.substring("what", 1, 200))
+    rows = cut(rows.withColumn("range", F.spark_partition_id()))
+    totals = rows.groupBy("range", "conv_id").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(F.col("range").alias("r"), F.col("conv_id").alias("c"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    w = Window.partitionBy("range", "conv_id").orderBy("turn", "who", "what").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (rows.withColumn("upto", F.sum("n").over(w)).join(before, (F.col("range") == F.col("r")) & F.col("conv_id").eqNullSafe(F.col("c")))
+              .withColumn("stop", F.col("before") + F.col("upto")).withColumn("start", F.col("stop") - F.col("n")))
+    first, last = F.floor(F.col("start") / part_turns), F.floor((F.col("stop") - 1) / part_turns)
+    dealt = placed.withColumn("part", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+    copies = F.least("stop", (F.col("part") + 1) * part_turns) - F.greatest("start", F.col("part") * part_turns)
+    m = F.sort_array(F.collect_list(F.struct("turn", "who", "what", copies.cast("int").alias("copies"))))
+    plain = F.flatten(F.transform(m, lambda x: F.array_repeat(F.struct(x["turn"].alias("turn"), x["who"].alias("who"), x["what"].alias("what")), x["copies"])))
+    return dealt.groupBy("conv_id", "part").agg(plain.alias("m"))
+
+
 def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                         role_col: str = "role", text_col: str = "text",
                         system: str = "system", part_turns: int = PART_TURNS) -> DataFrame:
@@ -29,9 +55,9 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     (array of struct<start, end>). Turns are ordered by (turn, speaker, text), nulls
     first; repeated rows stay. A null role speaks as ``unknown``, a null text is empty,
     null conversation ids form one dialogue. Dialogues with only system turns have no rendering.
-    Scale: turns are gathered per (conversation, block of ``part_turns`` turn numbers), so
-    a dialogue of any length is rendered in bounded parts with a running ``part``
-    number; a null turn number belongs to part -1.
+    Scale: a dialogue of any length is rendered in parts of at most ``part_turns`` rows. Parts are the blocks of
+    ``part_turns`` turn numbers (null numbers are part -1); a dialogue with more rows than that in any block, because numbers repeat
+    or are null, is cut by the count of its rows instead, parts numbered from 0 (see ``parts_by_count``).
     """
     said = turns.select(
         F.col(conv_col).alias("conv_id"),
@@ -40,8 +66,18 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
         F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|"), F.lit("< |")).alias("what"))
     people = (said.filter(F.col("who") != system).select("conv_id", "who").distinct()
               .select(F.col("conv_id").alias("c"), F.col("who").alias("perspective")))
-    parts = said.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "who", "what"))).alias("m"))
-    pairs = parts.join(people, parts.conv_id.eqNullSafe(people.c)).drop("c")
+    rows = said.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
+    large = cut(rows.filter(F.col("n") > part_turns).select(F.col("conv_id").alias("long_id")).distinct())
+    any_large = large.limit(1).count() > 0
+    is_large = lambda c: F.col(c).eqNullSafe(F.col("long_id"))
+    short = said.join(large, is_large("conv_id"), "left_anti") if any_large else said
+    parts = short.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "who", "what"))).alias("m"))
+    pairs = parts.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).select("conv_id", "part", "m", "perspective")
+    if any_large:  # the parts of a long dialogue meet its people in many tasks
+        cuts = parts_by_count(said.join(large, is_large("conv_id"), "left_semi"), part_turns).withColumn("salt", F.pmod("part", F.lit(SPREAD)))
+        spread = people.join(large, is_large("c"), "left_semi").withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+        met = cuts.join(spread, (F.col("salt") == F.col("s")) & F.col("conv_id").eqNullSafe(F.col("c")))
+        pairs = pairs.unionByName(met.select("conv_id", "part", "m", "perspective"))
     head = lambda m: F.concat(F.lit(START), F.when(m["who"] == F.col("perspective"), F.lit("assistant"))
                               .when(m["who"] == system, F.lit(system))
                               .otherwise(F.concat(F.lit("user name="), m["who"])), F.lit("\n"))

@@ -216,6 +216,23 @@ def test_chat(spark):
     assert [b.text[m.start:m.end] for m in b.mask] == ["yo < |x<|im_end|>"]
 
 
+def test_chat_parts_are_bounded_by_rows(spark):
+    rng = random.Random(4)
+    rows = [(None, turn, rng.choice("ab"), f"{d} {turn}") for d in range(5) for turn in range(3)]  # dialogues without id, numbers begin again
+    rows += [(None, 1, "a", "same")] * 11 + [(None, None, "b", "x")]
+    rows += [(7, None, "a", str(i)) for i in range(9)] + [(8, t, "c", str(t)) for t in (0, 1, 5, 6)] + [(9, None, "d", "z")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat_rotation.rotate_perspectives(frame, part_turns=4).collect()
+    assert max(r.n_turns for r in got) == 4
+    for conv, who in {(r[0], r[2]) for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        parts = sorted((r for r in got if (r.conv_id, r.perspective) == (conv, who)), key=lambda r: r.part)
+        said = [f"<|im_start|>{'assistant' if r[2] == who else 'user name=' + r[2]}\n{r[3]}<|im_end|>\n" for r in own]
+        assert "".join(r.text for r in parts) == "".join(said) and sum(r.n_turns for r in parts) == len(own)
+        assert [r.part for r in parts] == ([0, 1] if conv == 8 else [-1] if conv == 9 else list(range(-(-len(own) // 4))))
+        assert [p.text[m.start:m.end] for p in parts for m in p.mask] == [f"{r[3]}<|im_end|>" for r in own if r[2] == who]
+
+
 # op10
 def test_license(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
