@@ -108,6 +108,28 @@ def test_language(spark):
     assert lang_id.identify(d.limit(0), declared=F.col("lang"), carry={"doc_id": F.col("doc_id")}).count() == 0
 
 
+def test_language_of_pages_by_address_and_host(spark):
+    words = {"en": "the and this with that have from", "de": "der und nicht eine auch sich mit"}
+    rng = random.Random(1)
+    page = lambda lang, text: f"<html{f' lang={lang}' if lang else ''}><body><p>{text}</p></body></html>"
+    said = lambda lang: " ".join(rng.choices(words[lang].split(), k=40))
+    rows = [(i, f"http://both.example.org/{lang}/{i}", page(lang, said(lang))) for i in range(80) for lang in [("en", "de")[i % 2]]]
+    rows += [(100 + i, f"http://{lang}.sites.net/{i}", page(lang, said(lang))) for i in range(60) for lang in [("en", "de")[i % 2]]]
+    rows += [(200 + i, f"http://www.{lang}only.com/{i}", page(lang, said(lang))) for i in range(60) for lang in [("en", "de")[i % 2]]]
+    vague = "zzkk qqxx vvjj " * 8
+    asked = {"http://both.example.org/en/x1": "en", "http://both.example.org/de/x1": "de",  # address suffix
+             "http://en.sites.net/x1": "en", "http://de.sites.net/x1": "de",  # host
+             "http://new.enonly.com/x1": "en", "http://new.deonly.com/x1": "de"}  # registered domain of a new host
+    rows += [(900 + i, u, page(None, vague)) for i, u in enumerate(asked)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("lang", F.regexp_extract("html", "<html lang=([a-z]+)", 1))
+    d = d.withColumn("text", F.regexp_extract("html", "<p>(.*)</p>", 1)).withColumn("host", html_template.host_of(F.col("url")))
+    d = d.withColumn("lang", F.when(F.col("lang") != "", F.col("lang")))
+    got = {r.url: r.lang for r in lang_id.identify(d, declared=F.col("lang"), url=F.col("url"), host=F.col("host"), carry={"url": F.col("url")}).collect()}
+    assert {u: got[u] for u in asked} == asked
+    blind = {r.url: r.lang for r in lang_id.identify(d, declared=F.col("lang"), carry={"url": F.col("url")}).collect()}
+    assert len({blind[u] for u in asked}) == 1  # text and markup do not tell them apart
+
+
 # op4
 def test_mixing(spark):
     bad = lambda i: i % 4 == 0
