@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from .lineage import cut, discard
+
+FOREST_NODES, ONE_TASK_LINKS = 2_000_000, 1_000_000
 
 
 def nearest_1d(left: DataFrame, right: DataFrame, left_value: str, right_value: str, right_id: str, width: float) -> DataFrame:
@@ -37,36 +39,57 @@ def nearest_1d(left: DataFrame, right: DataFrame, left_value: str, right_value:
     return near.select(*cols, pick["id"].alias("nearest_id"), F.abs(F.col("__v") - pick["v"]).alias("distance"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component) of (a, b) links, the smallest id reachable: links are contracted in each task, then labels spread
-    with pointer jumping until nothing changes."""
-    def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        up: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while up[x] != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
-        for pdf in batches:
-            for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
-                x, y = find(up.setdefault(a, a)), find(up.setdefault(b, b))
+def local_forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Replace the links (a, b) that one task holds by links to the smallest node of each local component."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def links() -> pd.DataFrame:
+        return pd.DataFrame([(k, find(k)) for k in up], columns=["a", "b"], dtype=np.int64)
+
+    for pdf in batches:
+        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
+            x, y = find(up.setdefault(a, a)), find(up.setdefault(b, b))
+            if x != y:
                 up[max(x, y)] = min(x, y)
-        yield pd.DataFrame([(k, find(k)) for k in up], columns=["a", "b"], dtype=np.int64)
+        if len(up) > FOREST_NODES:  # bounded memory: hand over what is known and start again
+            yield links()
+            up.clear()
+    if up:
+        yield links()
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) of (a, b) links between long ids, the smallest id reachable; null ends are ignored, a node may link itself.
 
-    e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInPandas(forest, "a long, b long")
-    both = cut(e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("label")))
+    Each task first contracts the links it holds, twice: as they lie, and dealt by their larger end, of which each task has one
+    row at most, so that a star with millions of leaves is spread. Up to ONE_TASK_LINKS of what is left, counted, are joined in one task of bounded
+    memory; beyond that labels spread: each round a node takes the smallest of its own label, its neighbours' and the label of
+    its label (pointer jumping), aggregated before they are shuffled.
+    """
+    e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).dropna()
+    e = e.mapInPandas(local_forest, "a long, b long")
+    e = cut(e.repartition("a").mapInPandas(local_forest, "a long, b long").distinct())
+    if e.count() <= ONE_TASK_LINKS:
+        return cut(e.coalesce(1).mapInPandas(local_forest, "a long, b long").select(F.col("a").alias("id"), F.col("b").alias("component")))
+    both = cut(e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")))
+    before = labels
     while True:
-        k = labels.select(F.col("id").alias("k"), F.col("label").alias("up"))
-        near = both.join(k, both.b == k.k).select(F.col("a").alias("id"), F.col("up").alias("label"))
-        jump = labels.join(k, labels.label == k.k).select("id", F.col("up").alias("label"))
-        new = cut(labels.union(near).union(jump).groupBy("id").agg(F.min("label").alias("label")))
-        same = new.join(labels.withColumnRenamed("label", "old"), "id").filter("label <> old").limit(1).count() == 0
-        labels = new.select("id", "label")
-        if same:
-            return labels.withColumnRenamed("label", "component")
+        known = labels.select(F.col("id").alias("k"), F.col("label").alias("up"))
+        own = labels.select("id", "label", F.lit(True).alias("own"))
+        near = both.join(known, both.b == known.k).select(F.col("a").alias("id"), F.col("up").alias("label"), F.lit(False).alias("own"))
+        jump = labels.join(known, labels.label == known.k).select("id", F.col("up").alias("label"), F.lit(False).alias("own"))
+        step = cut(own.union(near).union(jump).groupBy("id").agg(F.min("label").alias("label"), F.max(F.when(F.col("own"), F.col("label"))).alias("was")))
+        discard(before)
+        before, labels = step, step.select("id", "label")
+        if not step.filter("label <> was").limit(1).count():
+            return labels.select("id", F.col("label").alias("component"))
 
 
 def cell_links(cells: DataFrame) -> DataFrame:
