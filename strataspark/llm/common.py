@@ -2,60 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import cut, discard, remove, shared_folder
+from ..operators.spatial import components, local_forest
 
-def shared_folder(spark: SparkSession) -> str:
-    """This application's folder under the one the cluster names in ``spark.checkpoint.dir``; a temporary
-    folder is set only where the session has none (tests, one machine)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
-    return context.getCheckpointDir()
-
-
-_written: dict[str, SparkSession] = {}
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the table behind a result of ``cut`` that nothing reads any more."""
-    path = getattr(df, "_cut_path", None)
-    spark = _written.pop(path, None)
-    if spark is not None:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+__all__ = ["components", "cut", "discard", "few_rows", "local_forest", "local_rows", "remove", "shared_folder", "table"]
+FEW = 1_000_000
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through a written table in the shared folder.
-
-    Unlike checkpoint() this also gives the planner true sizes: estimates of nested joins
-    multiply, and a loop over checkpoints carries them on until planning itself is slow.
-    Tables are deleted by ``discard`` or when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._cut_path = path
-    _written[path] = spark
-    return out
-
-
-@atexit.register
-def discard_all() -> None:
-    for path, spark in list(_written.items()):
-        with contextlib.suppress(Exception):  # the session may have ended before
-            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+def few_rows(df: DataFrame) -> DataFrame:
+    """A written table of numbers, to be broadcast if it holds at most FEW rows, counted here."""
+    return F.broadcast(df) if df.count() <= FEW else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,63 +25,3 @@ def local_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> Data
     """A small literal table built from SQL expressions only (no Python-to-JVM row conversion)."""
     items = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*items)))
-
-
-def local_forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Replace the links that one task holds by links to the smallest node of each local component."""
-    up: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    for pdf in batches:
-        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
-            up.setdefault(a, a)
-            up.setdefault(b, b)
-            x, y = find(a), find(b)
-            if x != y:
-                up[max(x, y)] = min(x, y)
-        if len(up) > 2_000_000:  # bounded memory: hand over what is known and start again
-            yield pd.DataFrame([(k, find(k)) for k in up], columns=["a", "b"])
-            up.clear()
-    if up:
-        yield pd.DataFrame([(k, find(k)) for k in up], columns=["a", "b"])
-
-
-ONE_TASK_LINKS = 1_000_000
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(a, b) links between long ids -> (id, component), component being the smallest id reachable.
-
-    Links are first contracted within each task. Up to ONE_TASK_LINKS of them, counted, are then joined in one
-    task of bounded memory; beyond that labels spread: each round a node takes the
-    smallest of its own label, its neighbours' labels and the label of its label (pointer jumping), so
-    chains shorten by half or more a round. Labels are aggregated before they are shuffled, so
-    a star with millions of leaves costs one row per task. Null ends and self links are ignored; an
-    empty input gives an empty result.
-    """
-    e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
-    e = e.mapInPandas(local_forest, "a long, b long").filter("a <> b")
-    e = e.repartition("b").mapInPandas(local_forest, "a long, b long").filter("a <> b")
-    e = cut(e)
-    if e.count() <= ONE_TASK_LINKS:  # 16 MB: one task joins them exactly
-        return cut(e.coalesce(1).mapInPandas(local_forest, "a long, b long").select(F.col("a").alias("id"), F.col("b").alias("component")))
-    both = cut(e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-                 .select("id", F.least("id", "m").alias("label")))
-    before = labels
-    while True:
-        known = labels.select(F.col("id").alias("k"), F.col("label").alias("up"))
-        own = labels.select("id", "label", F.lit(True).alias("own"))
-        near = both.join(known, both.b == known.k).select(F.col("a").alias("id"), F.col("up").alias("label"), F.lit(False).alias("own"))
-        jump = labels.join(known, labels.label == known.k).select("id", F.col("up").alias("label"), F.lit(False).alias("own"))
-        step = cut(own.union(near).union(jump).groupBy("id").agg(
-            F.min("label").alias("label"), F.max(F.when(F.col("own"), F.col("label"))).alias("was")))
-        discard(before)
-        before, labels = step, step.select("id", "label")
-        if not step.filter("label <> was").limit(1).count():
-            return labels.select("id", F.col("label").alias("component"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, local_forest
+from .common import components, cut, local_forest
 from .textvec import mix, shingle_sets
 
 TOGETHER = 3  # orders under which a pair must share its prefix token at the same time
@@ -44,14 +44,16 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def shingle_features(docs: DataFrame, id_col: str, text_col: str, k: int, factors: np.ndarray) -> DataFrame:
-    """(id, n, f1, f2, keys): set size, fingerprints (f1 names the set as a node) and candidate keys."""
+    """(id, th, n, f1, f2, keys): hash of the text, set size, fingerprints (f1 names the set as a node) and candidate keys."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(len(s), *fingerprint(s), (order_keys(s, factors) if len(s) else s).view(np.int64)) for s in shingle_sets(pdf["t"].tolist(), k)]
-            yield pd.DataFrame(out, columns=["n", "f1", "f2", "keys"]).assign(id=pdf["id"].to_numpy())[["id", "n", "f1", "f2", "keys"]]
+            yield pdf[["i", "nil", "th"]].reset_index(drop=True).join(pd.DataFrame(out, columns=["n", "f1", "f2", "keys"]))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInPandas(
-        run, "id long, n long, f1 long, f2 long, keys array<long>")
+    named = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
+    named = named.select(F.coalesce("i", F.lit(0)).alias("i"), F.col("i").isNull().alias("nil"), F.xxhash64("t").alias("th"), "t")
+    found = named.mapInPandas(run, "i long, nil boolean, th long, n long, f1 long, f2 long, keys array<long>")
+    return found.select(F.when(~F.col("nil"), F.col("i")).alias("id"), "th", "n", "f1", "f2", "keys")  # pandas has no null among integers
 
 
 POSTING = "edge boolean, key long, node long"
@@ -156,7 +158,7 @@ def verified_links(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
             if len(held) < 2:
                 return None
             named = zip(held, shingle_sets([x[2] for x in held.values()], k))
-            real = {x: s for x, s in named if len(s) and fingerprint(s)[0] == x}  # not another text under the same id
+            real = {x: s for x, s in named if len(s)}
             if len(real) < 2:
                 return None
             found = _verify(list(real), [held[x][0] for x in real], list(real.values()), np.stack([order_keys(s, factors) for s in real.values()]),
@@ -187,16 +189,16 @@ def in_blocks(members: DataFrame) -> DataFrame:
 
 
 def group_links(members: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(id, component) over all members (node, grp, n, rep) that are linked. First each block by itself, then one member
+    """(id, component) over all members (node, grp, n, rep, th) that are linked. First each block by itself, then one member
     of each component, then, where a group of several blocks still has several components, all pairs of blocks."""
     def check(rows: DataFrame) -> DataFrame:
         few = rows.count() <= BROADCAST_ROWS
-        return verified_links(texts.join(F.broadcast(rows) if few else rows, "rep"), k, num, den)
+        return verified_links(texts.join(F.broadcast(rows) if few else rows, ["rep", "th"]), k, num, den)
 
     own = lambda rows: rows.withColumn("first", F.col("block")).withColumn("second", F.col("block"))
     placed = cut(in_blocks(members).withColumn("comp", F.col("node")))
     links = cut(check(own(placed)))
-    known = connected_components(links)
+    known = components(links)
     wide = placed.filter("blocks > 1").drop("comp", "block", "blocks")
     for last in (False, True):
         if not wide.limit(1).count():
@@ -217,7 +219,7 @@ def group_links(members: DataFrame, texts: DataFrame, k: int, num: int, den: int
         more = cut(check(rows))
         if more.limit(1).count():
             links = links.union(more)
-            known = connected_components(links)
+            known = components(links)
     return known
 
 
@@ -228,7 +230,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Returns (id, n_shingles, component_id): the size of the row's shingle set and the smallest id reachable by
     links, itself included. Words are runs of bytes other than space and tab to carriage return, A-Z lower-cased;
     with fewer than ``shingle`` words the whole sequence is the one shingle. Texts without words, null and empty
-    ones, are linked with nothing. A null id has a null component; rows that repeat an id count as one document.
+    ones, are linked with nothing. A null id has a null component; rows that repeat an id, with whatever texts, count as one
+    document for the component (each row keeps the size of its own set).
     Shingles are compared by 64-bit hashes.
 
     Method: (1) tokens are ranked under many global orders; a pair of documents is a candidate if it shares the prefix
@@ -241,14 +244,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts. The text table is joined by broadcast only below BROADCAST_ROWS members, counted before.
     """
     feats = cut(shingle_features(docs, id_col, text_col, shingle, orders(num, den)))
-    classes = feats.filter("n > 0 and id is not null").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"))
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t")).filter("rep is not null")
-    groups = connected_components(shared_token_links(key_postings(feats)))
-    members = classes.join(groups.select(F.col("id").alias("f1"), F.col("component").alias("grp")), "f1").select(F.col("f1").alias("node"), "grp", "n", "rep")
-    known = group_links(members, texts, shingle, num, den)
+    some = feats.filter("n > 0 and id is not null")
+    classes = some.groupBy("f1", "f2", "n").agg(F.min(F.struct("id", "th")).alias("r")).select("f1", "f2", "n", F.col("r.id").alias("rep"), F.col("r.th").alias("th"))
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t")).filter("rep is not null")
+    groups = components(shared_token_links(key_postings(feats))).filter("id is not null")
+    members = classes.join(groups.select(F.col("id").alias("f1"), F.col("component").alias("grp")), "f1").select(F.col("f1").alias("node"), "grp", "n", "rep", "th")
+    links = group_links(members, texts, shingle, num, den)
+    # rows of one id with different texts are one document: their classes are linked
+    several = some.groupBy("id").agg(F.min("f1").alias("least"), F.max("f1").alias("most")).filter("least < most").select("id", "least")
+    again = cut(some.join(several, "id").select(F.col("f1").alias("a"), F.col("least").alias("b")).distinct())
+    known = components(links.select(F.col("id").alias("a"), F.col("component").alias("b")).union(again)) if again.limit(1).count() else links
     ids = classes.join(known.select(F.col("id").alias("f1"), "component"), "f1", "left").withColumn("component", F.coalesce("component", "f1"))
     least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = (ids.join(least, "component").select(F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.col("n").alias("cn"), "component_id"))
-    out = feats.drop("keys").join(named, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
+    out = feats.drop("keys", "th").join(named, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select("id", F.col("n").alias("n_shingles"), own.alias("component_id"))

@@ -95,6 +95,15 @@ def test_jaccard_edge_cases(spark):
     assert [(r.id, r.component_id) for r in got].count((3, 3)) == 2 and (None, None) in [(r.id, r.component_id) for r in got]
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (1, 0, 2), (2, 1, 0)])
+def test_jaccard_with_two_texts_under_one_id(spark, order):
+    a, b = prose(1, 60), prose(2, 60)
+    rows = [(7, a), (7, b), (8, b + " end"), (9, prose(3, 60)), (None, b)]
+    frame = docs(spark, [rows[i] for i in order] + rows[3:]).coalesce(1)
+    got = {(r.id, r.component_id) for r in ngram_join.jaccard_components(frame, shingle=3).collect()}
+    assert got == {(7, 7), (8, 7), (9, 9), (None, None)}
+
+
 # op3
 def test_language(spark):
     en, de = "the and this with that have from", "der und nicht eine auch sich mit"
