@@ -7,16 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, list_array, with_columns
 from .textvec import CHUNK, mix, pieces, word_hashes
 
 DOMAINS = ["good", "low", "toxic"]
 TARGETS = {"good": 0.9, "low": 0.1, "toxic": 0.0}
 BITS, SAMPLE_ROWS, MIN_CHI2, MAX_FEATURES = 18, 8000, 12.0, 4000
-MAX_RATE, RIDGE, STEPS, TOLERANCE = 4.0, 0.0005, 40, 1e-5
+RIDGE, STEPS, TOLERANCE = 0.0005, 40, 1e-5
 
 
 def features(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -116,40 +117,40 @@ def posteriors(docs: DataFrame, model: Classifier, carry: dict[str, Column], tex
     """Carried columns, plus tokens (words) and p (domain posteriors, in the order of DOMAINS)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_FEATURES weights and a table of 2 ** BITS places
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            tokens = np.zeros(len(pdf), np.int64)
-            p = np.zeros((len(pdf), len(DOMAINS)))
-            for first, places, owner, words in features(pdf["__t"].tolist()):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = np.zeros(len(batch), np.int64)
+            p = np.zeros((len(batch), len(DOMAINS)))
+            for first, places, owner, words in features(batch.column("__t").to_pylist()):
                 tokens[first: first + len(words)] = words
                 p[first: first + len(words)] = softmax(shared.value.scores(places, owner, len(words)))
-            yield pdf.drop(columns="__t").assign(tokens=tokens, p=list(np.round(p, 6)))
+            yield with_columns(batch.drop_columns(["__t"]), tokens=pa.array(tokens), p=list_array(np.round(p, 6)))
 
     kept = docs.select(*[c.alias(n) for n, c in carry.items()], F.col(text_col).alias("__t"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "__t")
-    return kept.mapInPandas(run, schema + ", tokens long, p array<double>")
+    return kept.mapInArrow(run, schema + ", tokens long, p array<double>")
 
 
 def fit_rates(scored: DataFrame, targets: dict[str, float]) -> tuple[Column, list[dict]]:
     """The rate of a row as an expression of ``p``, and the residuals of each step.
 
-    Minimises, over rates 0 <= r <= MAX_RATE,
+    Minimises, over rates r >= 0,
         1/2 sum_k ((sum_d r_d w_d p_dk - T_k) / W)^2 + RIDGE / 2 sum_d (w_d / W) (r_d - 1)^2,
     w being tokens and W their sum. The gradient by a row's rate, in that row's weight, is p_d . c + RIDGE (r_d - 1) with the
     residuals c = (sum - T) / W, one number per domain. Each step is one distributed aggregation; rates are not stored: every iterate
-    is 1 + p_d . u projected to its bounds, where u gathers the steps so far. Steps are scaled by the inverse of the
-    K x K matrix sum w p p' / W over rows within their bounds (summed in the same pass) and halved while they do not help.
+    is 1 + p_d . u projected to its bound, where u gathers the steps so far. Steps are scaled by the inverse of the
+    K x K matrix sum w p p' / W over rows with a rate above zero (summed in the same pass) and halved while they do not help.
     """
     k = len(DOMAINS)
     weight = sum(targets.get(d, 0.0) for d in DOMAINS)
     goal = np.array([targets.get(d, 0.0) / weight for d in DOMAINS])
     raw = lambda u: F.lit(1.0) + sum((F.col("p")[j] * float(u[j]) for j in range(k)), F.lit(0.0))
-    rate = lambda u: F.greatest(F.lit(0.0), F.least(F.lit(MAX_RATE), raw(u)))
+    rate = lambda u: F.greatest(F.lit(0.0), raw(u))
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
 
     def residual(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = F.col("tokens").cast("double")
-        free = F.when((raw(u) > 0) & (raw(u) < MAX_RATE), w).otherwise(0.0)
+        free = F.when(raw(u) > 0, w).otherwise(0.0)
         sums = [zero(w), *[zero(rate(u) * w * F.col("p")[j]) for j in range(k)]]
         sums += [zero(free * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(k)]
         row = np.array(list(scored.agg(*[c.alias(f"c{i}") for i, c in enumerate(sums)]).first()), float)
@@ -168,21 +169,24 @@ def fit_rates(scored: DataFrame, targets: dict[str, float]) -> tuple[Column, lis
         else:
             scale /= 2
         history.append({"step": len(history), **dict(zip(DOMAINS, map(float, g - RIDGE * u)))})
-    return rate(np.round(u, 6)), history
+    return rate(u), history
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
                   carry: dict[str, Column] | None = None) -> DataFrame:
-    """Carried columns (the id) plus tokens, p_good, p_low, p_toxic and rate of each document.
+    """Carried columns (the id) plus tokens, p_good, p_low, p_toxic, rate of each document and worst_residual.
 
     A classifier fitted on labelled rows predicts soft domain memberships; nonnegative rates are fitted so that the expected
     tokens of each domain, sum of rate * tokens * posterior, match the target shares of all tokens, while
-    rates keep near one (see ``fit_rates``). A rate is how often a document enters the mix on average; those at zero are out. Null or
+    rates keep near one (see ``fit_rates``). A rate is how often a document enters the mix on average, without an upper bound; those at zero are
+    out. ``worst_residual``, the same in all rows, is the largest difference of a domain's expected share and its target. Null or
     empty texts have no tokens and get the rate of their prior; rows that repeat share one rate; without labels
     all domains are equally likely. Every step aggregates a few numbers over all rows.
     """
     model = fit_classifier(docs, labels, id_col, text_col)
     carry = carry or {"doc_id": F.col(id_col)}
     scored = cut(posteriors(docs, model, carry, text_col))
-    rate, _ = fit_rates(scored, targets or TARGETS)
-    return scored.select(*carry, "tokens", *[F.col("p")[j].alias("p_" + d) for j, d in enumerate(DOMAINS)], F.round(rate, 4).alias("rate"))
+    rate, history = fit_rates(scored, targets or TARGETS)
+    worst = max(abs(history[-1][d]) for d in DOMAINS)
+    return scored.select(*carry, "tokens", *[F.col("p")[j].alias("p_" + d) for j, d in enumerate(DOMAINS)], F.round(rate, 4).alias("rate"),
+                         F.lit(round(worst, 6)).alias("worst_residual"))

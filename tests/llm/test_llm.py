@@ -117,6 +117,25 @@ def test_language(spark):
     assert lang_id.identify(d.limit(0), declared=F.col("lang"), carry={"doc_id": F.col("doc_id")}).count() == 0
 
 
+def test_language_of_held_out_rows(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0)
+    hidden = F.when(~F.col("held"), F.col("lang"))
+    got = lang_id.identify(d, declared=hidden, host=F.col("source"), carry={"held": F.col("held"), "truth": F.col("lang")}).filter("held and n_grams >= 20")
+    row = got.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("lang") == F.col("truth")).cast("int")).alias("right")).first()
+    assert row.n > 100 and row.right >= 0.97
+
+
+def test_rare_languages_are_kept(spark):
+    words = [f"{a}{b}" for a in "bcdfghjklm" for b in "aeiou"]
+    rng = random.Random(2)
+    own = {f"l{i:02d}": [rng.choice(words) + rng.choice(words) for _ in range(12)] for i in range(70)}
+    rows = [(i, " ".join(rng.choices(own["l00"], k=30)), "l00") for i in range(400)] + [(1000 + i, " ".join(rng.choices(w, k=30)), k) for i, (k, w) in enumerate(own.items())]
+    rows += [(2000 + i, rows[0][1], "l00") for i in range(500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = lang_id.identify(d, declared=F.col("lang"), carry={"truth": F.col("lang")}).filter("lang = truth").select("truth").distinct().count()
+    assert got == 70
+
+
 def test_language_of_pages_by_address_and_host(spark):
     words = {"en": "the and this with that have from", "de": "der und nicht eine auch sich mit"}
     rng = random.Random(1)
@@ -159,6 +178,24 @@ def test_rates_match_targets(spark):
     assert np.allclose(sums, [0.5, 0.3, 0.2], atol=0.01) and history
 
 
+def test_rates_equal_a_dense_solver(spark):
+    rng = np.random.default_rng(3)
+    n = 300
+    p, w = np.round(rng.dirichlet([0.4, 0.3, 0.1], n), 6), rng.integers(1, 400, n).astype(float)
+    scored = spark.createDataFrame([(int(t), list(map(float, x))) for t, x in zip(w, p)], "tokens long, p array<double>")
+    for goal in ({"good": 0.9, "low": 0.1, "toxic": 0.0}, {"good": 0.1, "low": 0.1, "toxic": 0.8}):
+        rate, history = mixing.fit_rates(scored, goal)
+        mine = np.array([r.r for r in scored.select(rate.alias("r")).collect()])
+        want, b, total = np.ones(n), np.array([goal[d] for d in mixing.DOMAINS]), w.sum()
+        top = 0.9 / (np.linalg.norm(p * np.sqrt(w / total)[:, None], 2) ** 2 + mixing.RIDGE)
+        for _ in range(60_000):  # plain projected gradient in the weights of the rows
+            grad = p @ ((want * w) @ p / total - b) + mixing.RIDGE * (want - 1)
+            want = np.maximum(0, want - top * grad)
+        cost = lambda r: 0.5 * (((r * w) @ p / total - b) ** 2).sum() + mixing.RIDGE / 2 * (w / total * (r - 1) ** 2).sum()  # noqa: E731,B023
+        assert cost(mine) <= cost(want) * 1.01 + 1e-9 and np.abs((mine * w) @ p / total - (want * w) @ p / total).max() < 2e-3
+        assert abs(max(abs(history[-1][d]) for d in mixing.DOMAINS) - np.abs((mine * w) @ p / total - b).max()) < 1e-6
+
+
 # op5
 def test_pii(spark):
     rows = [(1, "mail a.b@c.org, ip 10.0.0.255 or 10.0.0.256, card 4111 1111 1111 1111, +44 (20) 7946-0958"), (2, None), (3, ""), (4, "9" * 50_000)]
