@@ -14,6 +14,7 @@ from .common import cut
 BITS, PARTS = 64, 4
 SAMPLE_ROWS, PROBE_ROWS, TARGET = 4000, 200, 0.95
 CELL_ROWS = 2048  # index rows that one cell of a substring table holds before it is split
+TIE = 1e-14  # cosines that differ by less are ties: rounding of sums
 SCHEMA = "part int, cell int, lane int, tag int, id long, code long, vec binary"
 
 
@@ -57,22 +58,40 @@ def encode(unit: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.nda
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def unit_rows(blobs) -> tuple[np.ndarray, np.ndarray]:
-    x = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
-    top = np.abs(x).max(1, keepdims=True)
-    y = x / np.where(top > 0, top, 1)  # no overflow in squares
-    return x, y / np.linalg.norm(y, axis=1, keepdims=True)
+def directions(x: np.ndarray) -> np.ndarray:
+    """Rows divided by their largest component: multiples of a vector give the same bytes (a quotient is rounded once), and squares do not overflow."""
+    return x / np.abs(x).max(1, keepdims=True) + 0.0
+
+
+def unit_rows(blobs) -> np.ndarray:
+    y = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+    return y / np.linalg.norm(y, axis=1, keepdims=True)
+
+
+def best_pairs(close: np.ndarray, queries: np.ndarray, units: np.ndarray, ids: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of each query's ``limit`` best rows among those that are close; scores that differ by less than TIE go by the smaller
+    id. The score of a pair does not depend on the block in which it is met."""
+    rough = np.where(close, queries @ units.T, -2.0)
+    at = min(limit, rough.shape[1]) - 1
+    least = -np.partition(-rough, at, axis=1)[:, at]
+    q, c = np.nonzero(close & (rough >= (least - 2 * TIE)[:, None]))
+    score = np.einsum("ij,ij->i", queries[q], units[c])
+    order = np.lexsort((ids[c], -np.round(score / TIE), q))
+    q, c, score = q[order], c[order], score[order]
+    first = np.searchsorted(q, q)
+    keep = np.arange(len(q)) - first < limit
+    return q[keep], c[keep], score[keep]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest rows by cosine, its own row left out.
 
-    (1) Equal vectors collapse to one with its k + 1 smallest ids: no others can be among the k nearest, so the result
-    is that over all rows. (2) BITS-bit codes from a rotation learned on a bounded sample (SAMPLE_ROWS)
+    (1) Vectors of equal direction (multiples of each other) collapse to one with its k + 1 smallest ids: no others can be among the k nearest,
+    so the result is that over all rows. (2) BITS-bit codes from a rotation learned on a bounded sample (SAMPLE_ROWS)
     are cut into PARTS substrings; each substring has a table of cells, a cell being the leading bits of the substring
-    (so many that it holds about CELL_ROWS; larger cells are split over lanes). (3) By the pigeonhole rule a code
-    within radius R of the query differs by at most R // PARTS in some substring: the query visits the cells that
-    may hold such substrings, and there every code within R is found (by the first substring that qualifies, so once)
+    (so many that it holds about CELL_ROWS; larger cells are split over lanes). Rows and queries meet by an equi-join on (table, cell, lane). (3) By the pigeonhole rule a code
+    within radius R of the query differs by at most R // PARTS in some substring: the query visits the cells whose
+    leading bits differ in at most that many places, listed by flipping bits, and there every code within R is found (by the first substring that qualifies, so once)
     and reranked by its floats in double precision. A cell's rows are held, queries stream by: memory is bounded. (4) The
     nearest of all visits are kept; a query that found fewer than k + 1 vectors within R is compared with all in blocks.
     Ties go to the smaller id. Vectors that are null, zero, of another length than most or hold null or non-finite
@@ -88,7 +107,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = np.ascontiguousarray(np.stack(pdf["v"].to_numpy())) + 0.0 if len(pdf) else np.empty((0, dim))
+            x = directions(np.stack(pdf["v"].to_numpy())) if len(pdf) else np.empty((0, dim))
             yield pd.DataFrame({"id": pdf["id"], "vec": [r.tobytes() for r in x]})
 
     packed = rows.filter(F.size("v") == dim).mapInPandas(pack, "id long, vec binary").withColumn("h", F.xxhash64("vec"))
@@ -99,13 +118,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
     count = distinct.count()
     share = min(1.0, SAMPLE_ROWS / max(count, 1))
     sample = distinct.filter(F.pmod(F.xxhash64("h"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select("vec").limit(2 * SAMPLE_ROWS).toPandas()
-    mean, projection, radius = fit(unit_rows(sample["vec"].tolist())[1], k)
+    mean, projection, radius = fit(unit_rows(sample["vec"].tolist()), k)
     model = spark.sparkContext.broadcast((mean, projection))
 
     def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                _, unit = unit_rows(pdf["vec"].tolist())
+                unit = unit_rows(pdf["vec"].tolist())
                 yield pdf.assign(code=encode(unit, *model.value).view(np.int64))
 
     coded = cut(distinct.select(F.col("rep").alias("id"), "h", "vec").mapInPandas(codes, "id long, h long, vec binary, code long"))
@@ -121,9 +140,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
     index = coded.select("id", "code", "vec", part).withColumn("cell", F.expr(cell))
     splits = index.groupBy("part", "cell").agg(F.ceil(F.count(F.lit(1)) / (2 * CELL_ROWS)).cast("int").alias("lanes"))
     index = index.join(splits, ["part", "cell"]).withColumn("lane", F.pmod(F.xxhash64("id"), "lanes").cast("int"))
-    probes = wanted.select("id", "code", "vec", part).withColumn("own", F.expr(cell))
+    # the cells in reach of a query's own one: its leading bits with at most ``reach`` of them flipped, each an equi-join key
+    flips = F.filter(F.sequence(F.lit(0), F.lit((1 << lead) - 1)), lambda m: F.bit_count(m) <= reach)
+    probes = wanted.select("id", "code", "vec", part).withColumn("cell", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.expr(cell)))))
     cells = splits.select("part", "cell", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"))
-    visits = probes.join(cells, "part").filter(F.bit_count(F.col("own").bitwiseXOR(F.col("cell"))) <= reach)
+    visits = probes.join(cells, ["part", "cell"])
     names = ["part", "cell", "lane", "tag", "id", "code", "vec"]
     both = index.withColumn("tag", F.lit(0)).select(names).union(visits.withColumn("tag", F.lit(1)).select(names))
     mask, limit = np.uint64((1 << width) - 1), k + 1
@@ -135,7 +156,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
                 *where, tag = here
                 if where != key:
                     key, ids, codes_, units, table = where, [], [], [], None
-                _, unit = unit_rows(g["vec"].tolist())
+                unit = unit_rows(g["vec"].tolist())
                 code = g["code"].to_numpy().view(np.uint64)
                 if tag == 0:
                     ids.append(g["id"].to_numpy()), codes_.append(code), units.append(unit)
@@ -150,23 +171,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
                     for j in range(where[0] + 1):
                         close = np.bitwise_count((x >> np.uint64(j * width)) & mask) <= reach
                         ok &= close if j == where[0] else ~close
-                    score = np.where(ok, unit[at: at + 256] @ table[2].T, -2.0)
-                    take = np.argpartition(-score, min(limit, score.shape[1]) - 1, axis=1)[:, :limit]
-                    kept = np.take_along_axis(score, take, 1)
-                    q, c = np.nonzero(kept > -2)
-                    yield pd.DataFrame({"q": g["id"].to_numpy()[at: at + 256][q], "found": table[0][take[q, c]], "score": kept[q, c]})
+                    q, c, score = best_pairs(ok, unit[at: at + 256], table[2], table[0], limit)
+                    yield pd.DataFrame({"q": g["id"].to_numpy()[at: at + 256][q], "found": table[0][c], "score": score})
 
-    # one row per visit goes out for each of the k + 1 best; ties beyond them are vectors of equal score to the last bit
+    # a visit puts out its k + 1 best directions by score, then id: the k + 1 smallest of tied ids belong to the first k + 1 directions
     hits = both.repartition("part", "cell", "lane").sortWithinPartitions("part", "cell", "lane", "tag").mapInPandas(search, "q long, found long, score double")
-    hits = cut(hits.selectExpr("*", "row_number() over (partition by q order by score desc, found) as rn").filter(F.col("rn") <= limit).drop("rn"))
+    hits = cut(hits.selectExpr("*", "row_number() over (partition by q order by round(score / 1e-14) desc, found) as rn").filter(F.col("rn") <= limit).drop("rn"))
     few = wanted.select(F.col("id").alias("q")).join(hits.groupBy("q").count().filter(F.col("count") >= min(limit, count)), "q", "left_anti")
-    few = cut(few)  # their hits within R are found again among all rows: the two are not mixed, as sums may differ in the last bit
+    few = cut(few)  # their hits within R are found again among all rows
     hits = hits.join(few, "q", "left_anti").unionByName(_all_blocks(few.join(wanted, F.col("q") == F.col("id")).select("q", "vec"), coded, limit, count))
     named = hits.join(distinct.select(F.col("rep").alias("found"), "ids"), "found")
     flat = named.select("q", "score", F.explode("ids").alias("vec_id"))
     heads = distinct.select("h", "vec", F.col("rep").alias("q"))
     answers = asked.withColumnRenamed("id", "query_id").join(heads, ["h", "vec"]).select("query_id", "q").join(flat, "q").filter("query_id <> vec_id")
-    return (answers.selectExpr("query_id", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank", "vec_id", "score")
+    return (answers.selectExpr("query_id", "cast(row_number() over (partition by query_id order by round(score / 1e-14) desc, vec_id) as int) as rank", "vec_id", "score")
             .filter(F.col("rank") <= k))
 
 
@@ -182,15 +200,14 @@ def _all_blocks(few: DataFrame, coded: DataFrame, limit: int, count: int) -> Dat
             for (block, tag), g in pdf.groupby(["block", "tag"], sort=True):
                 if block != key:
                     key, ids, units = block, [], []
-                _, unit = unit_rows(g["vec"].tolist())
+                unit = unit_rows(g["vec"].tolist())
                 if tag == 0:
                     ids.append(g["id"].to_numpy()), units.append(unit)
                     continue
                 all_ids, all_units = np.concatenate(ids), np.concatenate(units)
                 for at in range(0, len(g), 256):
-                    score = unit[at: at + 256] @ all_units.T
-                    take = np.argpartition(-score, min(limit, score.shape[1]) - 1, axis=1)[:, :limit]
-                    kept = np.take_along_axis(score, take, 1)
-                    yield pd.DataFrame({"q": np.repeat(g["id"].to_numpy()[at: at + 256], take.shape[1]), "found": all_ids[take].ravel(), "score": kept.ravel()})
+                    x = unit[at: at + 256]
+                    q, c, score = best_pairs(np.ones((len(x), len(all_ids)), bool), x, all_units, all_ids, limit)
+                    yield pd.DataFrame({"q": g["id"].to_numpy()[at: at + 256][q], "found": all_ids[c], "score": score})
 
     return held.union(asks).repartition("block").sortWithinPartitions("block", "tag").mapInPandas(search, "q long, found long, score double")
