@@ -9,21 +9,55 @@ from pyspark.sql import functions as F
 
 from .common import local_rows
 
-# Openings of public license notices, the texts to find.
+# Texts of public licenses and their notices, the texts to find.
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD_3 = """Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution."""
+BSD_DISCLAIMER = """IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this
+permission notice appear in all copies."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"""
+UNLICENSE = "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"
+GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the {} as published by the Free Software Foundation"""
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("Apache-2.0", APACHE),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("MIT", "Released under the MIT License"),
+    ("MIT", MIT),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("GPL", GNU.format("GNU General Public License")),
+    ("LGPL", GNU.format("GNU Lesser General Public License")),
+    ("AGPL", GNU.format("GNU Affero General Public License")),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD", BSD_3),
+    ("BSD", BSD_DISCLAIMER),
+    ("ISC", ISC),
+    ("Zlib", ZLIB),
+    ("Unlicense", UNLICENSE),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("proprietary", "All rights reserved"),
 ]
-SHINGLE, BANDS, CONTAINMENT = 3, 32, 0.8
+SHINGLE, BANDS, CONTAINMENT = 3, 64, 0.8
 WORDS = "[^\\p{L}\\p{N}]+"
 
 
@@ -62,10 +96,11 @@ def license_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """(id, template, license, start_word, containment) for each window whose text holds a template.
 
-    Windows: for templates of up to c words (c a power of two), windows of 2c words begin at
-    every c-th word, so any run of c words lies whole in one of them and its Jaccard similarity
-    with a template of more than c/2 words is at least (c/2 - 1) / (2c - 2), 1/6 or more; with
-    32 bands of one row a whole template collides with probability 0.997 or more in one window.
+    Windows: for templates of up to c words (c a power of two), windows of 3c/2 words begin at
+    every c/2-th word, so any run of c words lies whole in one of them and its Jaccard similarity
+    with a template of more than c/2 words is at least (c/2 - 1) / (3c/2 - 2), 1/4 or more; with
+    64 bands of one row a whole template is missed with a chance of at most 0.75 ** 64, 1e-8. A text that
+    holds 0.8 of a template's shingles has 1/5 or more, hence a chance of 1e-6 at most.
     A band can only collide where a window shares a shingle with the template, so windows without
     any template shingle are passed over before the bands are made, which loses nothing.
     Verification is exact: the share of the template's shingles found in the window.
@@ -79,15 +114,16 @@ def license_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = base.withColumn("sh", shingles(F.col("w"), F.size("w"))).drop("w")
     near = F.filter(F.sequence(F.lit(0), F.size("sh") - 1), lambda i: F.col("sh")[i].isin(marks))
     near = F.when(F.size("sh") > 0, near)
-    # windows of class c that hold the shingle at p: those that begin at c*floor(p/c) and one step before
+    # windows of class c that hold the shingle at p: the last to begin before it and the two before that one
     spots = F.array_distinct(F.flatten(F.transform(near, lambda p: F.flatten(F.array(*[
-        F.array(F.struct(F.lit(c).alias("cls"), (F.floor(p / c) - k).cast("int").alias("k"))
-                ) for c in classes for k in (0, 1)])))))
+        F.array(F.struct(F.lit(c).alias("cls"), (F.floor(p / (c // 2)) - k).cast("int").alias("k"))
+                ) for c in classes for k in (0, 1, 2)])))))
     base = base.withColumn("spots", spots)
+    half = F.floor(F.col("s.cls") / 2)
     windows = (base.select("id", "sh", F.explode_outer("spots").alias("s"))
-               .select("id", F.col("s.cls").alias("wcls"), (F.col("s.k") * F.col("s.cls")).alias("start_word"),
-                       F.array_distinct(F.slice("sh", F.greatest(F.col("s.k") * F.col("s.cls"), F.lit(0)) + 1,
-                                                2 * F.col("s.cls") - 2)).alias("wsh"))
+               .select("id", F.col("s.cls").alias("wcls"), (F.col("s.k") * half).cast("int").alias("start_word"),
+                       F.array_distinct(F.slice("sh", F.greatest(F.col("s.k") * half, F.lit(0)).cast("int") + 1,
+                                                (3 * half).cast("int") - 2)).alias("wsh"))
                .filter("start_word >= 0"))
     windows = windows.select("id", "wcls", "start_word", "wsh", F.posexplode_outer(bands(F.col("wsh"))).alias("band", "mark"))
     keys = found.select("template", "license", "cls", "tsh", F.posexplode_outer("tbands").alias("tband", "tmark"))

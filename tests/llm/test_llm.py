@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -225,6 +226,30 @@ def test_nearest(spark):
     assert list(got[got.query_id == 50].sort_values("rank").vec_id) == [100, 101, 102, 103, 104]
 
 
+def test_nearest_ties_of_multiples_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(6)
+    x = rng.integers(-9, 10, size=(400, 12)).astype(float)
+    x[:, 0] += 0.5
+    for i in range(100, 130):
+        x[i] = x[50] * 2.0 ** (i % 7 - 3)
+    for i in range(130, 160):
+        x[i] = x[50] * (i - 127)
+    v = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(x)], "vec_id long, embedding array<double>").repartition(5)
+    got = mih.nearest(v, v.filter("vec_id = 50 or vec_id = 120").select("vec_id")).toPandas()
+    assert list(got[got.query_id == 50].sort_values("rank").vec_id) == [100, 101, 102, 103, 104]
+    assert list(got[got.query_id == 120].sort_values("rank").vec_id) == [50, 100, 101, 102, 103]
+
+
+def test_nearest_with_many_ties_and_few_rows(spark):
+    v = spark.createDataFrame([(i, [float(j == i % 40) for j in range(40)]) for i in range(200)], "vec_id long, embedding array<double>")
+    got = mih.nearest(v, v.filter("vec_id = 0").select("vec_id")).sort("rank").collect()
+    assert [(r.vec_id, round(r.score, 9)) for r in got[:4]] == [(40, 1.0), (80, 1.0), (120, 1.0), (160, 1.0)]
+    assert len(got) == 5 and got[4].score == 0.0  # of the 195 at a right angle one that is in reach of the code
+    few = v.filter("vec_id < 3")
+    assert [r.vec_id for r in mih.nearest(few, few.select("vec_id")).sort("query_id", "rank").collect()] == [1, 2, 0, 2, 0, 1]
+    assert mih.nearest(v.limit(0), v.select("vec_id")).count() == 0
+
+
 # op7
 def brute_lines(rows):
     seen, out = set(), {}
@@ -302,11 +327,36 @@ def test_chat_parts_are_bounded_by_rows(spark):
 
 
 # op10
+def brute_licenses(text, templates):
+    words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    three = lambda w: {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    w, found = words(text), set()
+    for name, body in templates:
+        t = words(body)
+        c = max(4, 1 << (len(t) - 1).bit_length())
+        for at in range(0, len(w), c // 2):
+            both = three(t) & three(w[at: at + 3 * c // 2])
+            if len(both) >= 0.8 * len(three(t)):
+                found.add(name)
+    return ",".join(sorted(found))
+
+
 def test_license(spark):
-    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
-    rows = [(1, f"{prose(1, 500)} {mit} {prose(2, 50)}"), (2, prose(3, 50)), (3, None), (4, "All Rights  Reserved.")]
+    rng = random.Random(8)
+    rows = [(2, prose(3, 50)), (3, None), (4, "All Rights  Reserved."), (5, ""), (6, "two words")]
+    for i, (name, body) in enumerate(license_scan.TEMPLATES * 3):
+        w = body.split()
+        for _ in range(i // len(license_scan.TEMPLATES)):  # none, one, two words changed
+            w[rng.randrange(len(w))] = "changed"
+        rows.append((10 + i, f"{prose(i, rng.randrange(300))} {' '.join(w)} {prose(900 + i, rng.randrange(60))}"))
+    rows += [(500, rows[6][1]), (500, rows[7][1]), (501, " ".join(rows[20 + j][1] for j in range(40))), (None, license_scan.ISC)]
     got = {r.doc_id: r.licenses for r in license_scan.scan_licenses(docs(spark, rows)).collect()}
-    assert got == {1: "MIT", 4: "proprietary"}
+    want: dict = {}
+    for i, t in rows:
+        if b := brute_licenses(t, license_scan.TEMPLATES):
+            want[i] = ",".join(sorted({*want.get(i, "").split(","), *b.split(",")} - {""}))
+    assert got == want and got[4] == "proprietary" and "MIT" in got[14]
+    assert license_scan.scan_licenses(docs(spark, [])).count() == 0
 
 
 def test_pipeline_stages(spark, tmp_path):
