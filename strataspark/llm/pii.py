@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ["email", "ip", "card", "phone"]
+WIDE_KINDS = [*KINDS, "secret"]  # access keys have no base format: only generators propose them
 # The base formats. Quantifiers are possessive and matches begin at the start of a
 # run (or where the last match ended), which finds the same spans in linear time and without
 # recursion on very long runs.
@@ -26,13 +27,15 @@ WIDE = {
     "card": r"(?<![0-9A-Za-z.])[0-9]{4}(?:[._/\x20-]{1,2}[0-9]{4}){2}[._/\x20-]{1,2}[0-9]{1,7}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z.+])\(?[0-9]{2,4}\)?(?:[\x20./-]{1,2}[0-9]{2,6}){1,4}(?![0-9A-Za-z])",
 }
-GATE = {"email": r"[\[(]at[\])]|\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20|\x20?[\[(]dot|\.[A-Za-z0-9])", "ip": ":[0-9A-Fa-f]{1,4}:", "card": "[0-9]", "phone": "[0-9]"}
+WIDE["secret"] = r"(?<![0-9A-Za-z_])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)\x20?[:=]\x20?[\x22']?[A-Za-z0-9+/_-]{8,128}+"
+GATE = {"secret": r"(?i)(?:token|secret|passw|key|auth)[^\n]{0,8}[:=]",
+        "email": r"[\[(]at[\])]|\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20|\x20?[\[(]dot|\.[A-Za-z0-9])", "ip": ":[0-9A-Fa-f]{1,4}:", "card": "[0-9]", "phone": "[0-9]"}
 CUES = {
     "email": r"e-?mail|mail|contact|write|reach", "ip": r"\bip\b|address|server|host|addr",
-    "card": r"card|visa|mastercard|credit|payment|amex", "phone": r"phone|tel|call|mobile|cell|fax|contact",
+    "card": r"card|visa|mastercard|credit|payment|amex", "phone": r"phone|tel|call|mobile|cell|fax|contact", "secret": r"config|login|header|export|set|env",
 }
-CONTEXT = 32
-FEATURES = ["kind", "length", "digits", "letters", "separators", "groups", "longest", "luhn", "cue", "foreign", "glued", "dotted", "spelled"]
+CONTEXT, RUN = 32, 256
+FEATURES = ["kind", "length", "digits", "letters", "separators", "groups", "longest", "luhn", "cue", "foreign", "glued", "dotted", "spelled", "mixed"]
 TRAIN_ROWS, TREES, DEPTH, PRECISION = 6000, 12, 3, 0.95
 
 SPANS = "array<struct<start:int,stop:int,hit:string>>"
@@ -69,7 +72,13 @@ def located(text: Column, pattern: str) -> Column:
         span = F.struct(start.alias("start"), stop.alias("stop"), x["hit"].alias("hit"))
         return F.struct(stop.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.aggregate(step, zero, add, lambda acc: acc["spans"])
+    # places within blocks of RUN matches, then the blocks' own: an array is copied with each match, so blocks keep that short
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / RUN)), lambda b: F.aggregate(F.slice(step, (b * RUN + 1).cast("int"), F.lit(RUN)), zero, add))
+    begins = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("of")), lambda acc, b: F.struct(
+        (acc["at"] + b["at"]).alias("at"), F.concat(acc["of"], F.array(acc["at"])).alias("of")), lambda acc: acc["of"])
+    moved = F.flatten(F.zip_with(blocks, begins, lambda b, o: F.transform(b["spans"], lambda s: F.struct(
+        (s["start"] + o).alias("start"), (s["stop"] + o).alias("stop"), s["hit"].alias("hit")))))
+    return F.when(F.size(hits) > RUN, moved).when(F.size(hits) > 0, F.aggregate(step, zero, add, lambda acc: acc["spans"])).otherwise(empty())
 
 
 def valid(kind: str, hit: Column) -> Column:
@@ -98,7 +107,7 @@ def features(kind: str, hit: Column, before: Column, after: Column) -> dict[str,
     runs = F.filter(F.split(hit, "[^0-9]+"), lambda p: p != "")
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     values = {
-        "kind": F.lit(float(KINDS.index(kind))), "length": F.length(hit), "digits": F.length(digits),
+        "kind": F.lit(float(WIDE_KINDS.index(kind))), "length": F.length(hit), "digits": F.length(digits),
         "letters": F.length(F.regexp_replace(hit, "[^A-Za-z]", "")),
         "separators": F.length(F.regexp_replace(hit, "[0-9A-Za-z]", "")), "groups": F.size(runs),
         "longest": F.coalesce(F.array_max(F.transform(runs, lambda p: F.length(p))), F.lit(0)),
@@ -107,6 +116,7 @@ def features(kind: str, hit: Column, before: Column, after: Column) -> dict[str,
         "foreign": flag(F.lower(before).rlike(r"version|order|invoice|isbn|page|date|serial|total|price|\bid\b|chapter|score|since|from")),
         "glued": flag(before.rlike("[0-9A-Za-z_=#\"]$") | after.rlike("^[0-9A-Za-z_\"]")),
         "dotted": flag(hit.contains(".")), "spelled": flag(hit.rlike(r"\bdot\b|[\[(]at[\])]")),
+        "mixed": flag(hit.rlike("[0-9][A-Za-z]+[0-9]|[A-Za-z][0-9]+[A-Za-z]")),
     }
     return {k: v.cast("double") for k, v in values.items()}
 
@@ -133,10 +143,13 @@ def training_rows(spark: SparkSession, rows: int) -> DataFrame:
         ("phone", 0, F.concat(d(28, 2), sep, d(29, 2), sep, d(30, 4))),
         ("phone", 0, F.concat(d(31, 2), F.lit("."), d(32, 2))),
         ("phone", 0, F.concat(d(33, 4), F.lit(" "), d(34, 4))),
+        ("secret", 1, F.concat(pick(39, "token", "api_key", "secret", "access-key"), pick(40, " = \"", "=", ": ", "='"), F.substring(F.sha2(d(41, 9), 256), 1, 20 + r(42) % 30))),
+        ("secret", 1, F.concat(pick(39, "token", "password", "passwd", "auth"), pick(40, " = \"", "=", ": ", "='"), F.substring(F.base64(F.sha2(d(43, 9), 256).cast("binary")), 2, 12 + r(44) % 20))),
+        ("secret", 0, F.concat(pick(39, "token", "secret", "password", "auth"), pick(40, ": ", ":", " = ", "="), pick(45, "required", "authentication", "optional", "something", "nextsection", "undefined"))),
     ]
     frame = spark.range(rows).withColumn("case", (r(35) % len(cases)))
     choose = lambda f: reduce(lambda acc, k: F.when(F.col("case") == k, f(cases[k])).otherwise(acc), range(1, len(cases)), f(cases[0]))
-    cue = {"email": "email ", "ip": "ip address ", "card": "card ", "phone": "call "}
+    cue = {"email": "email ", "ip": "ip address ", "card": "card ", "phone": "call ", "secret": "config "}
     true_before = choose(lambda c: F.lit(cue[c[0]]))
     return frame.select(
         choose(lambda c: F.lit(c[0])).alias("kind"), choose(lambda c: F.lit(float(c[1]))).alias("label"), choose(lambda c: c[2]).alias("hit"),
@@ -173,14 +186,14 @@ def fit(spark: SparkSession, rows: int = TRAIN_ROWS) -> Booster:
     cols = []
     for name in FEATURES:
         cols.append(reduce(lambda acc, k: F.when(F.col("kind") == k, features(k, F.col("hit"), F.col("before"), F.col("after"))[name]).otherwise(acc),
-                           KINDS[1:], features(KINDS[0], F.col("hit"), F.col("before"), F.col("after"))[name]).alias("f_" + name))
+                           WIDE_KINDS[1:], features(WIDE_KINDS[0], F.col("hit"), F.col("before"), F.col("after"))[name]).alias("f_" + name))
     table = made.select("label", F.col("kind").alias("k"), F.pmod(F.xxhash64("hit", "before"), F.lit(3)).alias("fold"), *cols).coalesce(1).cache()
     ready = VectorAssembler(inputCols=["f_" + n for n in FEATURES], outputCol="features").transform(table)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(ready.filter("fold < 2"))
     booster = Booster([t._java_obj.rootNode() for t in model.trees], list(model.treeWeights), {})
     held = table.filter("fold = 2").select("k", "label", F.round(booster.margin({n: F.col("f_" + n) for n in FEATURES}), 6).alias("m"))
     steps = held.groupBy("k", "m").agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("n")).collect()
-    for kind in KINDS:  # at most as many rows as TRAIN_ROWS / 3
+    for kind in WIDE_KINDS:  # at most as many rows as TRAIN_ROWS / 3
         hits = n = 0.0
         cut = float("inf")
         for s in sorted((s for s in steps if s.k == kind), key=lambda s: -s.m):
@@ -205,7 +218,7 @@ def find_pii(docs: DataFrame, booster: Booster | None = None, id_col: str = "doc
     """Personal data of every text: (id, email, ip, card, phone, extra).
 
     The four arrays hold the base spans (struct<start, stop, hit>, code points, end exclusive). ``extra``
-    holds further spans (with ``kind``): wider generators propose candidates that may overlap, boosted trees
+    holds further spans (with ``kind``, also of access keys, kind ``secret``): wider generators propose candidates that may overlap, boosted trees
     score format and context, and those from the calibrated cutoff of their kind on stay unless they overlap
     a base span. One narrow projection without shuffle: each text is looked at where it lies, and texts
     without digits or ``@`` are passed over by cheap tests. Null texts count as empty; every row gives one row.
@@ -217,12 +230,13 @@ def find_pii(docs: DataFrame, booster: Booster | None = None, id_col: str = "doc
     fits = {"email": F.col("has_at"), "ip": F.col("has_digit") & text.contains("."), "card": F.col("has_digit") & text.rlike("[0-9](?:[\\x20-]?[0-9]){12}"),
             "phone": F.col("has_digit") & text.contains("+")}
     found = t.select("id", "t", "has_digit", *[base_spans(text, k, fits[k]).alias(k) for k in KINDS])
-    may = {k: text.rlike(GATE[k]) & (F.lit(True) if k in ("email", "ip") else F.col("has_digit")) for k in KINDS}
-    found = found.select("id", *KINDS, *[wide_spans(text, k, may[k], model).alias("w_" + k) for k in KINDS])
-    found = found.select("id", *KINDS, *["w_" + k for k in KINDS], F.concat(*KINDS).alias("all"))
+    may = {k: text.rlike(GATE[k]) & (F.lit(True) if k in ("email", "ip", "secret") else F.col("has_digit")) for k in WIDE_KINDS}
+    found = found.select("id", *KINDS, *[wide_spans(text, k, may[k], model).alias("w_" + k) for k in WIDE_KINDS])
+    base = F.concat(*[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))) for k in KINDS])
+    found = found.select("id", *KINDS, *["w_" + k for k in WIDE_KINDS], base.alias("all"))
     clear = lambda s: ~F.exists("all", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
     tag = lambda k: lambda s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["hit"].alias("hit"))
-    tagged = F.concat(*[F.transform(F.filter("w_" + k, clear), tag(k)) for k in KINDS])
+    tagged = F.concat(*[F.transform(F.filter("w_" + k, clear), tag(k)) for k in WIDE_KINDS])
     return found.select("id", *KINDS, tagged.alias("extra"))
 
 
@@ -231,10 +245,12 @@ def span_text(kind: str, spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts, the hash of the base spans and all spans as text, of a result of ``find_pii``."""
+    """Counts, the hash of the base spans and all spans as text (those of further kinds last), of a result of ``find_pii``."""
     base = F.array_join(F.concat(*[span_text(k, F.col(k)) for k in KINDS]), ",")
     of = lambda k: F.transform(F.filter("extra", lambda s: s["kind"] == k), lambda s: F.struct(
         s["start"].alias("start"), s["stop"].alias("stop"), s["hit"].alias("hit")))
-    both = F.array_join(F.concat(*[span_text(k, F.array_sort(F.concat(F.col(k), of(k)))) for k in KINDS]), ",")
+    every = lambda k: F.concat(F.col(k), of(k)) if k in KINDS else of(k)
+    both = F.array_join(F.concat(*[span_text(k, F.array_sort(every(k))) for k in WIDE_KINDS]), ",")
+    total = sum((F.size(k) for k in KINDS), F.size("extra")).cast("long")
     return found.select(F.col("id").alias("doc_id"), *[F.size(k).cast("long").alias("n_" + k) for k in KINDS],
-                        F.sha2(base, 256).alias("base_sha256"), both.alias("spans"), F.size("extra").cast("long").alias("n_extra"))
+                        F.sha2(base, 256).alias("base_sha256"), both.alias("spans"), F.size("extra").cast("long").alias("n_extra"), total.alias("n_spans"))

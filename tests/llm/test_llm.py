@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -205,6 +206,82 @@ def test_pii(spark):
     assert got[2].base_sha256 == got[3].base_sha256 == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
+def brute_base(t):
+    """The contract read off a plain regular-expression engine."""
+    out = []
+    ascii_ = lambda p: re.compile(p, re.A)
+    forms = [("email", ascii_(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")), ("ip", ascii_(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+             ("card", ascii_(r"[0-9]([\x20-]?[0-9])+")), ("phone", ascii_(r"\+[0-9][\x20().0-9-]+[0-9]"))]
+    for kind, form in forms:
+        for m in form.finditer(t or ""):
+            d = [int(c) for c in re.sub("[^0-9]", "", m[0])]
+            luhn = sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(reversed(d))) % 10 == 0
+            good = {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else False, "card": 13 <= len(d) <= 19 and luhn, "phone": 9 <= len(d) <= 15}
+            if good[kind]:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def test_pii_base_spans_of_the_test_documents_and_of_odd_ones(spark):
+    rng = random.Random(5)
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    odd = [(10_000_000 + i, "".join(rng.choice(["1", "23", "4111 1111 1111 1111", ".", "@", "+", "-", " ", "a", "(", ")", "10.0.0.1", "é", "\n", "x@y.z", "😀"]) for _ in range(rng.randrange(1, 60)))) for i in range(400)]
+    odd += [(20_000_000, "a@b.c " * 3000), (20_000_001, None), (20_000_001, None)]
+    rows = frame.unionByName(docs(spark, odd))
+    got = {r.doc_id: (r.base_sha256, r.n_email + r.n_ip + r.n_card + r.n_phone) for r in pii.digest(pii.find_pii(rows)).collect()}
+    for r in rows.collect():
+        spans = brute_base(r.text)
+        assert got[r.doc_id] == (hashlib.sha256(",".join(spans).encode()).hexdigest(), len(spans)), r.doc_id
+    assert pii.digest(pii.find_pii(docs(spark, []))).count() == 0
+
+
+# labelled by hand: [[...]] marks what should be found beyond the base formats
+LABELLED = """
+Please email [[maria at example dot org]] before Friday.
+Write to [[j.doe [at] mail [dot] net]] for the slides.
+contact [[info(at)library(dot)org]] about opening hours
+We met at noon at the station. The train was late.
+She looked at him. Then nothing happened at all.
+The call center: [[(212) 555-0187]] is open all day.
+call [[415-555-2671]] or come by
+phone [[020 7946 0958]] after six
+his mobile [[0171 5550 113]] rings
+Chapter 12.34 covers pages 120-134 of the book.
+total 12.50 and 13.75 since 2019
+The score was 21-19 and 21-17 since noon.
+server address [[2001:0db8:85a3:0000:0000:8a2e:0370:7334]] answers
+ip [[fe80:1:2:3:4:5:6:7]] pinged
+The show starts 10:30:45 sharp, order 12:10:55:20 is late.
+card [[4111.1111.1111.1111]] was charged
+credit card [[5500/0000/0000/0004]] expired
+invoice 1234.5678.9012.3456 was paid
+version 1.2.3 of page 44-55
+config token = "[[9f86d081884c7d659a2feaa0c55ad015a3bf4f1b]]" leaked
+export api_key=[[AbC9xK2mPq7LtR4vWz]] now
+the password: required field is marked
+authentication = something else entirely
+date 2020-01-15 and isbn 978-3-16-148410-0 here
+since 1914 - 1918 the price rose
+"""
+
+
+def test_pii_added_spans_on_labelled_lines(spark):
+    rows, want = [], {}
+    for i, line in enumerate(x for x in LABELLED.strip().split("\n")):
+        plain, spans, at = "", [], 0
+        for m in re.finditer(r"\[\[(.*?)\]\](?!\w)", line):
+            plain += line[at: m.start()]
+            spans.append((len(plain), len(plain) + len(m[1])))
+            plain, at = plain + m[1], m.end()
+        rows.append((i, plain + line[at:]))
+        want[i] = spans
+    got = {r.id: r.extra for r in pii.find_pii(docs(spark, rows)).collect()}
+    hit = sum(any(e.start < b and a < e.stop for e in got[i]) for i, s in want.items() for a, b in s)
+    false = sum(not any(e.start < b and a < e.stop for a, b in want[i]) for i in got for e in got[i])
+    total = sum(map(len, want.values()))
+    assert hit / total >= 0.8 and false / max(1, hit + false) <= 0.15, (hit, total, false, [(rows[i][1], [e.hit for e in x]) for i, x in got.items()])
+
+
 # op6
 def test_nearest(spark):
     rng = np.random.default_rng(5)
