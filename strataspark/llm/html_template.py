@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,91 +18,137 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select option button object canvas head".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select option button object canvas head".split())
 OUT_TAGS = frozenset("nav footer aside form menu dialog label".split())
-# Names that pages give to parts which are not the article.
+FRAME = frozenset("html body main".split())  # never judged by name
+ARTICLE = frozenset("article main".split())
+# Names that pages give to parts which are not the article ...
 OUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related replies "
     "reply share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split())
+# ... and the words that stand beside them in a name; with any other word (no-sidebar, ad-hoc, related-work) a name says nothing.
+BESIDE = frozenset(
+    "area articles bar block bottom box buttons column container content form global group header icons inner item items left link links list "
+    "main meta middle outer page panel policy posts primary right secondary section site slot stories sub thread top tray unit wrap wrapper".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
-NAMED = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+MARKUP = re.compile(r"""<!--|<!\[CDATA\[|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""")
+NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
+CLASS = re.compile(r"""\bclass\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 MIN_PAGES, SHARE, MIN_CLASS = 3, 0.5, 2
 ARTICLE_PAGES = 5  # a passage of the article is lost with less ease than a line of a menu
+COPY = 0.5  # an article of which templates would take a larger part is a copy of others, not their template
+TEASER = 0.2  # an article that is smaller than this part of the paragraphs around it is not the main text
 BROADCAST_TOKENS = 1_000_000
 
 
+def names_other(name: str) -> bool:
+    """Whether one class or id names a part that is not the article."""
+    words = [w for w in re.split(r"[-_0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+    return any(w in OUT_NAMES for w in words) and all(w in OUT_NAMES or w in BESIDE for w in words)
+
+
 def outside(tag: str, attrs: str) -> bool:
-    """Whether an element by its name or its class, id or role is no part of an article."""
-    if tag in OUT_TAGS:
-        return True
-    if not attrs:
+    """Whether an element by its class, id or role is no part of an article; of ``article`` only whole names count, as for a comment."""
+    if not attrs or tag in FRAME:
         return False
     for m in NAMED.finditer(attrs):
-        name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if name == "role" and value in OUT_ROLES:
-            return True
-        if name in ("class", "id") and any(w in OUT_NAMES for w in re.split(r"[^a-z]+", value)):
+        kind, value = m[1].lower(), m[2].strip("\"'")
+        if kind == "role":
+            if value.lower() in OUT_ROLES:
+                return True
+        elif tag == "article":
+            if len(value.split()) == 1 and value.lower() in OUT_NAMES:
+                return True
+        elif any(names_other(name) for name in value.split()):
             return True
     return False
 
 
-def tokens(page: str | None) -> Iterator[tuple[str, str, str, bool, bool, bool]]:
-    """(kind, path, value, block, inside article, outside) in page order: kind ``<`` or ``>`` for a tag that
-    opens or closes, ``t`` for a text between tags. A path is the names (with classes) of the open elements."""
-    page = page or ""
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, outside, article
-    at, n = 0, len(page)
+def tokens(page: str | None) -> Iterator[tuple[str, int, str, bool, int, bool]]:
+    """(kind, path, value, block, article, paragraph) in page order: kind ``<`` or ``>`` for a tag that opens or closes, ``t`` for a text between
+    tags. A path is a hash of the open elements' names with classes, of any depth. ``article`` is 0 in parts that are no article,
+    1 outside and 2 inside an ``article`` or ``main``, 3 inside one that stands in a part named as no article (by class or id, not by tag).
 
-    def state() -> tuple[str, bool, bool]:
-        return (stack[-1][1], stack[-1][3], stack[-1][2]) if stack else ("", False, False)
+    One pass, linear in the page: a search for an end that is not there is made once for each tag.
+    """
+    page = page or ""
+    stack: list[tuple[str, int, int, int]] = []  # tag, path, out (1 by name, 2 by tag), in article (2 if that lies in a part named otherwise)
+    held: dict[str, int] = {}  # open elements by tag
+    blocks: list[int] = []  # places of open block elements
+    absent: set[str] = set()
+    at, last, n = 0, page.rfind(">") + 1, len(page)
+
+    def where() -> tuple[int, int]:
+        if not stack:
+            return 0, 1
+        _, path, out, art = stack[-1]
+        return path, 0 if out else 1 + art
 
     def text(s: str):
-        path, art, out = state()
-        return ("t", path, html.unescape(s), False, art, out)
+        path, state = where()
+        return ("t", path, html.unescape(s), False, state, bool(stack) and stack[blocks[-1]][0] == "p" if blocks else False)
+
+    def shut(depth: int) -> None:
+        for tag, *_ in stack[depth:]:
+            held[tag] -= 1
+        del stack[depth:]
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
 
     while at < n:
-        m = MARKUP.search(page, at)
+        m = MARKUP.search(page, at, last) if at < last else None
         if m is None:
-            yield text(page[at:])
+            rest = page[at:]
+            yield text(rest[: rest.find("<!--")] if "<!--" in rest else rest)
             return
         if m.start() > at:
             yield text(page[at: m.start()])
         at = m.end()
+        if m[0] in ("<!--", "<![CDATA["):
+            end = page.find("-->" if m[0] == "<!--" else "]]>", at)
+            if m[0] == "<![CDATA[":
+                yield text(page[at: end if end >= 0 else n])
+            at = end + 3 if end >= 0 else n
+            continue
         close, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
-            if m[0].startswith("<![CDATA["):
-                yield text(m[0][9:].removesuffix("]]>"))
             continue
         tag = tag.lower()
         if close:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                path, art, out = stack[depth][1], stack[depth][3], stack[depth][2]
-                del stack[depth:]
-                yield (">", path, tag, tag in BLOCK, art, out)
+            if held.get(tag):
+                depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
+                shut(depth + 1)
+                path, state = where()
+                shut(depth)
+                yield (">", path, tag, tag in BLOCK, state, False)
             elif tag in BLOCK:
-                path, art, out = state()
-                yield (">", path, tag, True, art, out)
+                yield (">", where()[0], tag, True, where()[1], False)
             continue
         if tag in RAW and not attrs.endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            end = None if tag in absent else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if end is None:
+                absent.add(tag)
             if end or tag in ("script", "style", "textarea", "title"):
                 at = end.end() if end else n
                 continue
-        if tag in BLOCK:  # an open paragraph ends where a block begins
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCK), None)
-            if depth is not None and stack[depth][0] == "p":
-                del stack[depth:]
-        above, art, out = state()
-        named = re.search(r"""\bclass\s*=\s*["']?([^"'>]*)""", attrs)
-        path = f"{above}/{tag}" + (f".{named[1].strip()}" if named else "")
-        art = art or tag in ("article", "main")
-        out = out or outside(tag, attrs) or tag == "header" and not art
-        yield ("<", path, tag, tag in BLOCK, art, out)
-        if tag not in VOID and not attrs.endswith("/"):
-            stack.append((tag, path[-400:], out, art))
+        if tag in BLOCK and blocks and stack[blocks[-1]][0] == "p":  # an open paragraph ends where a block begins
+            shut(blocks[-1])
+        _, above, out, art = stack[-1] if stack else ("", 0, 0, 0)
+        named = CLASS.search(attrs)
+        path = zlib.crc32(f"{tag}.{named[1].strip() if named else ''}".encode("utf-8", "surrogatepass"), above)
+        if tag in ARTICLE:
+            art, out = (2, 0) if out == 1 else (art or 1, out)
+        out = 2 if tag in OUT_TAGS or tag == "header" and not art or tag == "article" and outside(tag, attrs) else out or int(outside(tag, attrs))
+        keep = tag not in VOID and not attrs.endswith("/")
+        stack.append((tag, path, out, art))
+        held[tag] = held.get(tag, 0) + 1
+        yield ("<", path, tag, tag in BLOCK, where()[1], False)
+        if keep:
+            if tag in BLOCK:
+                blocks.append(len(stack) - 1)
+        else:
+            shut(len(stack) - 1)
 
 
 def host_of(url: Column) -> Column:
@@ -112,13 +159,15 @@ def squeeze(s: str) -> str:
     return " ".join(s.split())
 
 
-def token_key(kind: str, path: str, value: str) -> str:
+def token_key(kind: str, path: int, value: str) -> str:
     return f"{kind}{path}\x00{squeeze(value) if kind == 't' else value}"
 
 
 def layout_of(page: Column) -> Column:
     """A page's layout: the containers it is built of, with their classes (digits apart), what stands in the article left out."""
-    frame = F.regexp_replace(F.coalesce(page, F.lit("")), r"(?is)(<(article|main)\b[^>]*>).*</\2\s*>", "$1")
+    page = F.coalesce(page, F.lit(""))
+    before, after = F.regexp_extract(page, r"(?is)^(.*?<(?:article|main)\b[^>]*>)", 1), F.regexp_extract(page, r"(?is)^.*</(?:article|main)\s*>(.*)$", 1)
+    frame = F.when(before != "", F.concat(before, after)).otherwise(page)
     tags = F.regexp_extract_all(frame, F.lit(r"(?i)<(?:body|div|section|article|main|header|footer|nav|aside|form)\b[^>]*>"), F.lit(0))
     named = F.transform(tags, lambda t: F.concat_ws(".", F.lower(F.regexp_extract(t, "^<([A-Za-z]+)", 1)), F.regexp_replace(
         F.regexp_extract(t, r"""(?i)\bclass\s*=\s*["']?([^"'>]*)""", 1), "[0-9]+", "")))
@@ -250,8 +299,13 @@ def host_templates(pages: DataFrame) -> DataFrame:
     all pages costs each task one row per token; a scope has few frequent tokens, as each takes up half of its pages.
     """
     scopes = F.explode(F.array("by_host", "by_layout")).alias("scope")
-    sizes = pages.select(scopes).groupBy("scope").agg(F.count(F.lit(1)).alias("pages"))
-    seen = occurrences(pages).select(scopes, "token", F.xxhash64("page", "n").alias("v"), "n", "at")
+    sizes = pages.select(scopes, "page").distinct().groupBy("scope").agg(F.count(F.lit(1)).alias("pages"))
+    copies = pages.groupBy("by_host", "by_layout", "page").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
+    seen = occurrences(pages)
+    if copies.limit(1).count():  # pages that come several times count once
+        again = seen.join(copies.select("page").distinct(), "page", "left_semi").distinct()
+        seen = seen.join(copies.select("page").distinct(), "page", "left_anti").unionByName(again)
+    seen = seen.select(scopes, "token", F.xxhash64("page", "n").alias("v"), "n", "at")
     vectors = seen.groupBy("scope", "token").agg(
         F.bit_xor("v").alias("vector"), F.count(F.lit(1)).alias("held"), F.sum("n").alias("n"), F.min("at").alias("low")).filter(F.col("held") >= MIN_PAGES)
     frequent = vectors.join(sizes, "scope").filter(F.col("held") >= SHARE * F.col("pages"))
@@ -286,11 +340,29 @@ def host_templates(pages: DataFrame) -> DataFrame:
     return ranked.join(broken, "scope", "left").select("scope", pack(left))
 
 
+def main_part(found: list[tuple]) -> frozenset[int]:
+    """Which states of tokens hold the main text: that of an article, where one is not a mere teaser, else all but what is marked as another part."""
+    size = {s: 0 for s in range(4)}
+    around = 0
+    for kind, _, value, _, state, paragraph in found:
+        if kind == "t":
+            size[state] += len(value.strip())
+            around += len(value.strip()) if state == 1 and paragraph else 0
+    if size[2]:
+        return frozenset((1, 2)) if size[2] < TEASER * around else frozenset((2,))
+    if size[3] and size[3] >= TEASER * around:  # an article inside a part with the name of another
+        return frozenset((3,))
+    return frozenset((1,))
+
+
 def slots(body: str | None, known: set[int], sure: set[int], hashes) -> str:
-    """The text of a page's remaining slots; in the article only tokens of ``sure`` are template."""
+    """The text of a page's remaining slots; in the article only tokens of ``sure`` are template, and none where they are most of it."""
     found = list(tokens(body))
-    has_article = any(art and not out for _, _, _, _, art, out in found)
+    part = main_part(found)
     keys = hashes(found) if known else [0] * len(found)
+    inside = [(len(v.strip()), k in sure) for (kind, _, v, _, state, _), k in zip(found, keys) if kind == "t" and state in part and state > 1]
+    if sum(n for n, gone in inside if gone) > COPY * sum(n for n, _ in inside):
+        sure = frozenset()
     blocks, run = [], []
 
     def flush():
@@ -299,9 +371,9 @@ def slots(body: str | None, known: set[int], sure: set[int], hashes) -> str:
             blocks.append(s)
         run.clear()
 
-    for (kind, _, value, block, art, out), key in zip(found, keys):
+    for (kind, _, value, block, state, _), key in zip(found, keys):
         if kind == "t":
-            if not out and (art or not has_article) and key not in (sure if art else known):
+            if state in part and key not in (sure if state > 1 else known):
                 run.append(value)
         elif block:
             flush()
@@ -315,16 +387,16 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """(page_id, url, text, n_chars): the main text of every page.
 
     Templates are deduced for each host and each of its layouts (see ``host_templates``); text tokens of either template go,
-    in the article those of classes on ARTICLE_PAGES pages. Of the remaining slots
-    those inside ``article`` or ``main`` give text where the page has one, else all that stand outside menus,
-    headers, footers, sidebars, notices, adverts, forms and comments (known by tag, role, class or id). Blocks follow
-    the page and are joined by an empty line. A host of fewer than MIN_PAGES pages has no template, so
-    structure alone decides there. Null or empty html, and pages without text, give an empty text; a null url belongs
-    to the host without name; repeated rows stay.
+    in the article those of classes on ARTICLE_PAGES different pages, unless they are more than COPY of it (then the page is a copy of others). Of the remaining
+    slots those inside ``article`` or ``main`` give text where the page has one that is no teaser (less than TEASER of the paragraphs around it), else
+    all that stand outside menus, headers, footers, sidebars, notices, adverts, forms and comments (known by tag, role, or a class or id made of
+    OUT_NAMES and BESIDE alone; never so on html, body and main). Blocks follow the page and are joined by an empty line. A host of fewer than
+    MIN_PAGES pages has no template, so structure alone decides there. Null or empty html, and pages without text, give an empty text; a null url belongs
+    to the host without name; repeated rows stay and count as one page; very long pages are read in one linear pass.
     """
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     base = with_scopes(base.withColumn("host", host_of(F.col("url"))))
-    marked = base.select("by_host", "by_layout", F.xxhash64("page_id", "url", "html").alias("page"), "html")
+    marked = base.select("by_host", "by_layout", F.xxhash64("html").alias("page"), "html")
     joined = attach(base.drop("host"), cut(host_templates(marked)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,75 @@ def test_classes_are_ordered_and_nested():
     assert html_template.violations([1, 3, 2], [a]) in ({2}, {3})
 
 
+def extract(spark, rows):
+    got = html_template.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in got}
+
+
+def test_names_empty_no_article(spark):
+    rows = ["<body class='single no-sidebar'><article><p>Body text</p></article></body>", "<article class='post comments-open'><p>Body text</p></article>",
+            "<article><p class='ad-hoc'>Body text</p></article>", "<article><div class='skip-grams'>Body text</div></article>", "<article><div id='related-work'>Body text</div></article>",
+            "<div class='widget'><article><p>Body text</p></article></div>", "<article><p>Body text</p><div class='share-buttons'>Share</div><section id=comments><article><p>Me too</p></article></section></article>",
+            "<article><p>Body text</p></article><section class='comment-list'><article class='comment'><p>Me too</p></article></section>",
+            "<article>Body text<div class='adSlot'>Buy</div></article>", "<main><div role='navigation'>Menu</div><p>Body text</p></main>"]
+    assert set(extract(spark, [(i, f"http://h{i}/", r) for i, r in enumerate(rows)]).values()) == {"Body text"}
+    teaser = f"<article><p>Short</p></article><div><p>{prose(1, 90)}</p></div>"
+    assert extract(spark, [(1, "http://h/", teaser)])[1] == f"Short\n\n{prose(1, 90)}"
+    assert extract(spark, [(1, "http://h/", "<article><p>so <math><mi>x</mi></math> is</p></article>")])[1] == "so x is"
+
+
+def test_copies_are_no_template(spark):
+    one = "<body><div class=top>Site</div><article><h1>A</h1><p>Long text</p></article></body>"
+    near = lambda i: f"<body><article><h1>A</h1><p>{prose(7, 30)}</p><p>{prose(8, 30)}</p><p>{i}</p></article></body>"
+    got = extract(spark, [(i, f"http://h/{i}", one) for i in range(8)] + [(20 + i, f"http://g/{i}", near(i)) for i in range(9)] + [(5, "http://h/5", one)])
+    assert all(got[i] == "A\n\nLong text" for i in range(8)) and all(got[20 + i] == f"A\n\n{prose(7, 30)}\n\n{prose(8, 30)}\n\n{i}" for i in range(9))
+
+
+def test_templates_equal_brute_force(spark):
+    rng = random.Random(9)
+    pages = []
+    for i in range(12):
+        parts = [f"<p>{w}</p>" for w in ("always one", "always two", "always three")]
+        if i % 2:
+            parts.insert(rng.randrange(1, 3), "<p>often</p><b>so</b>")
+        pages.append((i, "http://h/", "<div>" + "".join(parts) + f"<p>{prose(i, 9)}</p></div>"))
+    frame = spark.createDataFrame(pages, "page long, url string, html string").withColumn("host", F.lit("h"))
+    marked = html_template.with_scopes(frame).select("by_host", "by_layout", "page", "html")
+    scope = marked.first().by_host
+    got = next(r for r in html_template.host_templates(marked).collect() if r.scope == scope)
+    run, vectors, keys, order = html_template.hasher(), {}, {}, []
+    for i, _, body in pages:
+        order.append(run([t for t in html_template.tokens(body) if t[0] != "t" or t[2].strip()]))
+        for h in order[-1]:
+            vectors.setdefault(h, [0] * 12)[i] += 1
+    for h, v in vectors.items():
+        if sum(map(bool, v)) >= 6:
+            keys.setdefault(tuple(v), set()).add(h)
+    def crosses(strong, weak):
+        """Whether an instance of the weak class has a token of the strong one between its first and last."""
+        for page in order:
+            spots = [k for k, h in enumerate(page) if h in weak]
+            each = [spots[k: k + len(weak)] for k in range(0, len(spots), len(weak))]
+            if any(h in strong for inst in each for h in page[inst[0]: inst[-1]]) and any(h in weak for h in page):
+                return True
+        return False
+
+    ranked = sorted(((sum(map(bool, v)), sum(v), m) for v, m in keys.items() if len(m) > 1), key=lambda c: (-c[0], c[1], -len(c[2])))
+    held = []
+    for n, _, m in ranked:
+        if not any(crosses(strong, m) for _, strong in held):
+            held.append((n, m))
+    want = {(n, frozenset(m)) for n, m in held}
+    assert len(ranked) > len(held) and {(n, frozenset(m)) for n, m in html_template.unpack(got.classes)} == want and len(want) >= 2
+
+
+def test_tokens_of_odd_pages_take_linear_time():
+    for body in ("<a " * 40_000, "<svg>" * 20_000, "<!--" * 30_000, "<b>" * 20_000 + "<hr>" * 20_000 + "</i>" * 20_000, "<a '" * 30_000 + ">", "<option>" * 20_000 + "<p>" * 20_000, "</x>" * 30_000, "<" * 90_000):
+        began = time.time()
+        assert sum(1 for _ in html_template.tokens(body)) >= 0
+        assert time.time() - began < 3
+
+
 # op2
 def brute_components(rows, k, num, den):
     sets = {i: {tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))} if (w := (t or "").lower().split()) else set() for i, t in rows}
