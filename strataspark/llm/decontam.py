@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Q = 8
+from .common import with_columns
+
+Q, SHORT_Q, SHORT = 8, 4, 24  # passages of less than SHORT code points go by shorter q-grams, as the lemma asks for q * edits < length
 EDIT_SHARE = 0.08
 WINDOW = 160  # code points of a passage; longer items are cut into overlapping ones
 BLOCK_CHARS = 2_000_000  # of benchmark text held by a task at once
@@ -27,14 +30,14 @@ def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def grams(c: np.ndarray) -> np.ndarray:
+def grams(c: np.ndarray, q: int) -> np.ndarray:
     """64-bit hashes of the q-grams of a sequence of code points."""
-    n = len(c) - Q + 1
+    n = len(c) - q + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     x = c.astype(np.uint64) + np.uint64(1)
     h = x[:n].copy()
-    for j in range(1, Q):
+    for j in range(1, q):
         h *= R
         h += x[j: j + n]
     return (h ^ (h >> np.uint64(29))) * R
@@ -44,6 +47,7 @@ def grams(c: np.ndarray) -> np.ndarray:
 class Index:
     """Passages of a block of the benchmark and their q-grams."""
 
+    q: int
     items: np.ndarray
     texts: list[str]
     lengths: np.ndarray
@@ -63,26 +67,34 @@ def passages(text: str) -> list[str]:
     return [text[s: s + WINDOW] for s in sorted(starts)]
 
 
-def build_index(rows: list[tuple[int, str]]) -> Index | None:
-    found = {}
-    for item, text in rows:
-        for p in passages(normal(text)):
-            if len(p) >= Q:
-                found.setdefault((p, item))
+def build_index(found: dict[tuple[str, int], None], q: int) -> Index | None:
     if not found:
         return None
     texts, items = zip(*found)
-    hashed = [grams(points(t)) for t in texts]
+    hashed = [grams(points(t), q) for t in texts]
     lengths = np.array([len(t) for t in texts])
-    budget = (EDIT_SHARE * lengths).astype(int)
-    budget = np.minimum(budget, (lengths - Q) // Q)  # else the lemma's bound would be nil
-    budget = np.maximum(budget, 0)
+    budget = (EDIT_SHARE * lengths).astype(int)  # at least 1 is left of the lemma's bound, as lengths go with q
     keys = np.concatenate(hashed)
     order = np.argsort(keys, kind="stable")
     marks = np.zeros(1 << TABLE_BITS, bool)
     marks[keys >> np.uint64(64 - TABLE_BITS)] = True
-    return Index(np.array(items), list(texts), lengths, budget, keys[order], np.repeat(np.arange(len(texts)), [len(h) for h in hashed])[order],
-                 np.concatenate([np.arange(len(h)) for h in hashed])[order], marks, int((lengths - Q + 1 - Q * budget).min()))
+    return Index(q, np.array(items), list(texts), lengths, budget, keys[order], np.repeat(np.arange(len(texts)), [len(h) for h in hashed])[order],
+                 np.concatenate([np.arange(len(h)) for h in hashed])[order], marks, int((lengths - q + 1 - q * budget).min()))
+
+
+def build_indexes(rows: list[tuple[int, str]]) -> tuple[list[Index], re.Pattern | None, dict[str, list[int]]]:
+    """Indexes by length of passage, and a pattern of the items that are shorter than a q-gram with the items of each."""
+    long, short, tiny = {}, {}, {}
+    for item, text in rows:
+        for p in passages(normal(text)):
+            if len(p) >= SHORT:
+                long.setdefault((p, item))
+            elif len(p) >= Q:
+                short.setdefault((p, item))
+            elif p:
+                tiny.setdefault(p, []).append(item)
+    words = re.compile(r"(?<!\w)(?=(" + "|".join(map(re.escape, sorted(tiny, key=lambda p: (-len(p), p)))) + r")(?!\w))") if tiny else None
+    return [x for x in (build_index(long, Q), build_index(short, SHORT_Q)) if x is not None], words, tiny
 
 
 def banded(pattern: np.ndarray, region: np.ndarray, offset: int, band: int, budget: int) -> int | None:
@@ -122,24 +134,40 @@ def regions(index: Index, hits: np.ndarray, h: np.ndarray) -> Iterator[tuple[int
     after_is = (after < len(keys)) & (keys[np.minimum(after, len(keys) - 1)] == keys + 1)
     both = counts + np.where(after_is, counts[np.minimum(after, len(keys) - 1)], 0)
     p = (keys >> 32).astype(int)
-    need = index.lengths[p] - Q + 1 - Q * index.budget[p]
+    need = index.lengths[p] - index.q + 1 - index.q * index.budget[p]
     for k in np.flatnonzero(both >= need):
         w = index.budget[p[k]] + 1
         yield int(p[k]), int((keys[k] & 0xFFFFFFFF) * w - WINDOW)
 
 
+def leaks(indexes: tuple, text: str, memo: dict) -> dict[int, tuple[int, int]]:
+    """For each benchmark item found in a normalised text: (edits, start) of the best passage."""
+    known, words, tiny = indexes
+    best: dict[int, tuple[int, int]] = {}
+    for index in known:
+        for item, hit in occurrences(index, text, memo).items():
+            best[item] = min(best.get(item, hit), hit)
+    for m in words.finditer(text) if words else ():
+        for n in range(len(m[1])):  # shorter items may begin at the same place
+            part = m[1][: len(m[1]) - n]
+            if part in tiny and not re.match(r"\w", text[m.start() + len(part): m.start() + len(part) + 1]):
+                for item in tiny[part]:
+                    best[item] = min(best.get(item, (0, m.start())), (0, m.start()))
+    return best
+
+
 def occurrences(index: Index, text: str, memo: dict) -> dict[int, tuple[int, int]]:
     """For each benchmark item found in a normalised text: (edits, start) of the best passage."""
     best: dict[int, tuple[int, int]] = {}
     for begin in range(0, max(1, len(text)), CHUNK):  # chunks overlap by more than a passage can take up
         piece = text[begin: begin + CHUNK + 2 * WINDOW]
         c = points(piece)
-        h = grams(c)
+        h = grams(c, index.q)
         marked = index.marks[h >> np.uint64(64 - TABLE_BITS)]
         if np.count_nonzero(marked) < index.least:
             continue
         total = np.concatenate([[0], np.cumsum(marked)])
-        span = 2 * WINDOW
+        span = 2 * WINDOW + int(index.budget.max())  # a passage with its edits lies whole in one span
         starts = np.arange(0, len(h), WINDOW)
         dense = starts[total[np.minimum(starts + span, len(h))] - total[starts] >= index.least]
         if not len(dense):
@@ -153,7 +181,7 @@ def occurrences(index: Index, text: str, memo: dict) -> dict[int, tuple[int, int
             n = int(index.lengths[p])
             left = max(0, first - e - 1)
             part = piece[left: first + 2 * (e + 1) + n + e]
-            key = (p, part, first - left)
+            key = (index.q, p, part, first - left)
             if key not in memo:
                 if len(memo) > 20_000:
                     memo.clear()
@@ -172,12 +200,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     Texts are compared lower-cased, runs of white space being one space; ``start`` is a place in that form. A passage
     (an item of up to WINDOW code points, or each WINDOW long window of a longer one) counts as held when it stands in the text
-    within EDIT_SHARE of its length in edits (and less than a q-th of it, the lemma's limit). An occurrence with e edits
+    within EDIT_SHARE of its length in edits. An occurrence with e edits
     shares length - q + 1 - q * e q-grams with the passage on diagonals that differ by e at most, so bands of 2 (e + 1) diagonals
     that overlap by half hold them all: other bands are passed over without loss, the rest verified by alignment.
     Items are read in blocks of BLOCK_CHARS, the only thing broadcast; documents are read where they lie, nothing is shuffled
-    but found rows. Null or empty texts hold nothing, items of under q code points are not looked for; rows
-    with a null id are reported under the null id; rows that repeat are reported each.
+    but found rows. Passages of less than SHORT code points have shorter q-grams; items of less than Q code points must stand in the text
+    as they are, between word borders. Null or empty texts hold nothing and null or empty items are not looked for; rows with a null id are
+    reported under the null id; rows that repeat are reported each; long texts are read in overlapping chunks.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).filter("t is not null and i is not null")
@@ -189,25 +218,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     found = None
     for block in range(blocks):  # one round per bounded part of the benchmark
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()
-        index = build_index([(r.i, r.t) for r in rows])
-        if index is None:
+        indexes = build_indexes([(r.i, r.t) for r in rows])
+        if not indexes[0] and indexes[1] is None:
             continue
-        part = kept.mapInPandas(_scanner(spark.sparkContext.broadcast(index)), schema)
+        part = kept.mapInArrow(_scanner(spark.sparkContext.broadcast(indexes)), schema)
         found = part if found is None else found.union(part)
     return spark.createDataFrame([], schema) if found is None else found
 
 
 def _scanner(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}
-        for pdf in batches:
+        for batch in batches:
             at, out = [], []
-            for i, t in enumerate(pdf["__t"].tolist()):
-                for item, (edits, start) in sorted(occurrences(shared.value, normal(t), memo).items()):
+            for i, t in enumerate(batch.column("__t").to_pylist()):
+                for item, (edits, start) in sorted(leaks(shared.value, normal(t), memo).items()):
                     at.append(i)
                     out.append((item, edits, start))
             if at:
-                rows = pdf.drop(columns="__t").iloc[at].reset_index(drop=True)
-                yield pd.concat([rows, pd.DataFrame(out, columns=["item_id", "edits", "start"])], axis=1)
+                item, edits, start = (pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32())))
+                yield with_columns(batch.drop_columns(["__t"]).take(pa.array(at)), item_id=item, edits=edits, start=start)
 
     return run

@@ -447,6 +447,38 @@ def test_decontam(spark):
     assert decontam.find_leaks(docs(spark, []), bench).count() == 0
 
 
+def test_decontam_short_long_and_edited_passages(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    items = [(i, "".join(rng.choice(letters) for _ in range(n))) for i, n in enumerate([3, 7, 9, 13, 15, 18, 23, 24, 30, 80, 160, 160, 400])]
+    rows, n = [], 0
+    for i, t in items:
+        for e in range(0, int(decontam.EDIT_SHARE * min(len(t), 160)) + 2):
+            for where in (0, 155, 300, 319, 477):
+                w = list(t)
+                for _ in range(e):
+                    k = rng.randrange(len(w))
+                    w[k] = rng.choice(["", w[k] + "#", "#"]) if e % 3 else w[k] + "#"
+                rows.append((n, "".join(rng.choice("uvwxyz ") for _ in range(where)) + " " + "".join(w) + " " + "".join(rng.choice("uvwxyz ") for _ in range(60))))
+                n += 1
+    rows += [(9000, " ".join(t for _, t in rows) * 3), (None, rows[30][1]), (5, rows[5][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs(spark, rows).repartition(8), bench).collect()}
+    want = set()
+    for i, t in rows:
+        u = decontam.normal(t)
+        for k, x in items:
+            if len(x) < 8:
+                if re.search(rf"(?<!\w){x}(?!\w)", u):
+                    want.add((i, k))
+            elif i == 9000:
+                if (9000, k) in got:  # too long for the plain search: only that all items are found
+                    want.add((i, k))
+            elif any(edits(p, u) <= int(decontam.EDIT_SHARE * len(p)) for p in decontam.passages(x)):
+                want.add((i, k))
+    assert got == want and {k for i, k in got if i == 9000} == set(range(len(items)))
+
+
 # op9
 def test_chat(spark):
     rows = [(1, 0, "system", "S"), (1, 1, "a", "hi"), (1, 2, "b", "yo <|x"), (2, 0, None, None)]
