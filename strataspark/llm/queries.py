@@ -24,6 +24,13 @@ def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"), declared=F.col("lang"), host=F.col("source"), carry={"doc_id": F.col("doc_id")})
 
 
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The method of op3 where all its evidence exists: markup language, address suffix and host of every page."""
+    visible = F.regexp_replace(F.regexp_replace("html", "(?is)<(script|style)[^>]*>.*?</\\1>", " "), "<[^>]*>", " ")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", visible.alias("text"), F.regexp_extract("html", "(?is)<html[^>]*\\blang\\s*=\\s*[\"']?([a-z]+)", 1).alias("lang"))
+    return lang_id.identify(pages, declared=F.col("lang"), url=F.col("url"), host=html_template.host_of(F.col("url")), carry={"page_id": F.col("page_id")})
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,8 +64,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_html_extract, op2_ngram_jaccard, op3_lang_id, op4_source_mix, op5_pii, op6_ann_mih, op7_line_dedup, op8_decontaminate,
-        op9_chat_rotation, op10_license_scan)}
+        op1_html_extract, op2_ngram_jaccard, op3_lang_id, pages_language, op4_source_mix, op5_pii, op6_ann_mih, op7_line_dedup,
+        op8_decontaminate, op9_chat_rotation, op10_license_scan)}
 
 
 SQL = {

@@ -4,7 +4,6 @@ import re
 import time
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -539,7 +538,6 @@ def test_license(spark):
 
 
 def test_pipeline_stages(spark, tmp_path):
-    import duckdb  # noqa: F401
     leak = prose(77, 20)
     rows = [(i, prose(i, 80), "en", "s", 1) for i in range(30)]
     rows += [(40, rows[5][1] + " end", "en", "s", 1), (41, f"{prose(41, 40)} {leak}", "en", "s", 1), (42, "123", "en", "s", 1), (43, None, "en", "s", None)]
@@ -552,5 +550,4 @@ def test_pipeline_stages(spark, tmp_path):
 
 
 def test_all_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
-    assert isinstance(pd.Series(dtype=int), pd.Series)
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries() if k.startswith("op")) == list(range(1, 11))
