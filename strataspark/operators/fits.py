@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,21 @@ def robust_plane(df: DataFrame, keys: list[str], least: int, rounds: int = 1, sc
         fit = plane(rows, keys, 3)
     rms = residuals(rows, fit).groupBy(*keys).agg(F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("rms"))
     return fit.join(rms, keys)
+
+
+def height_window(points: DataFrame, mode: str, low: float, high: float, z: str = "z", core: Column | None = None,
+                  quantiles: tuple[float, float] = (0.05, 0.95), reference: Column | None = None) -> DataFrame:
+    """Points within a closed range of heights: ``absolute`` from low to high; ``percentile``, the quantiles of the heights where ``core`` holds,
+    moved by low and high; ``relative``, low and high added to each row's ``reference``. An empty range is an error."""
+    if mode == "absolute":
+        if high <= low:
+            raise ValueError("the upper height must lie above the lower one")
+        return points.filter(F.col(z).between(low, high))
+    if mode == "relative":
+        return points.filter(F.col(z).between(reference + low, reference + high))
+    if mode != "percentile":
+        raise ValueError(f"unknown height mode {mode!r}")
+    ends = points.filter(core if core is not None else F.lit(True)).agg(F.percentile(z, F.array(*[F.lit(q) for q in quantiles])).alias("q")).first().q
+    if ends is None or ends[1] + high <= ends[0] + low:
+        raise ValueError("the upper height must lie above the lower one")
+    return points.filter(F.col(z).between(ends[0] + low, ends[1] + high))

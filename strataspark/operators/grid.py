@@ -57,3 +57,14 @@ def voxel_holdout(points: DataFrame, size: float, part: float) -> DataFrame:
     name = F.concat_ws(",", *[cell(F.col(c), size) for c in "xyz"])
     bucket = F.conv(F.substring(F.sha2(name, 256), 1, 8), 16, 10).cast("long") % 1_000_000
     return points.withColumn("holdout", bucket < round(part * 1_000_000))
+
+
+def symmetric_cells(points: DataFrame, across: float, along: float) -> DataFrame:
+    """``points`` with (col, row) of a grid that lies symmetrically to the origin, x across and y along: turning an axis round mirrors the
+    grid. Two empty columns stand at each side; what rounding puts outside goes to the edge."""
+    far = points.agg(F.max(F.abs("x")).alias("x"), F.max(F.abs("y")).alias("y")).first()
+    out = points
+    for name, axis, size, pad in (("col", "x", across, 2), ("row", "y", along, 0)):
+        half = F.lit(-(-(far[axis] or 0.0) // size) + pad)
+        out = out.withColumn(name, F.greatest(F.lit(0), F.least(2 * half, F.floor((F.col(axis) + (half + 0.5) * size) / size + 1e-9))).cast("long"))
+    return out

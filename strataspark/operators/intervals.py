@@ -58,6 +58,21 @@ def asof(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> Da
     return both.withColumn(f"asof_{value}", F.last("__v", True).over(w)).filter("__side = 1").select(*cols, f"asof_{value}")
 
 
+def interpolate(left: DataFrame, knots: DataFrame, key: str, at: str, knot_at: str, *values: str) -> DataFrame:
+    """Left rows with each of ``values`` interpolated between the knots before and after, clipped to the first and last; one row for each
+    knot place. Rows and knots of a key are read once in order: no join of rows."""
+    cols = left.columns
+    knot = F.struct(F.col(knot_at).cast("double").alias("t"), *[F.col(v) for v in values])
+    both = (left.withColumn("__t", F.col(at).cast("double")).withColumn("__side", F.lit(1))
+            .unionByName(knots.select(F.col(key), F.col(knot_at).cast("double").alias("__t"), knot.alias("__k"), F.lit(0).alias("__side")), allowMissingColumns=True))
+    w = Window.partitionBy(key).orderBy("__t", "__side")
+    after = Window.partitionBy(key).orderBy(F.col("__t").desc(), "__side").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__a", F.last("__k", True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__b", F.last("__k", True).over(after))
+    a, b = F.coalesce("__a", "__b"), F.coalesce("__b", "__a")
+    share = F.when(b["t"] > a["t"], (F.col("__t") - a["t"]) / (b["t"] - a["t"])).otherwise(0.0)
+    return both.filter("__side = 1").select(*cols, *[(a[v] + (b[v] - a[v]) * share).alias(v) for v in values])
+
+
 def sliding_median(df: DataFrame, key: str, order: list[str], value: str, half: int) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*order).rowsBetween(-half, half)
     return df.withColumn("median", F.expr(f"percentile({value}, 0.5)").over(w)).withColumn("prominence", F.col(value) - F.col("median"))

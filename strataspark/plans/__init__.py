@@ -1 +1 @@
-from . import catalogue, extended  # noqa: F401  (extended adds to the catalogue)
+from . import extended, frames, trackgraph  # noqa: F401  each registers its queries
