@@ -1 +1 @@
-from . import extended, frames, trackgraph  # noqa: F401  each registers its queries
+from . import evaluation, extended, frames, planning, trackgraph  # noqa: F401  each registers its queries
