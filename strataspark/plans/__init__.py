@@ -1 +1 @@
-from . import evaluation, extended, frames, planning, trackgraph  # noqa: F401  each registers its queries
+from . import evaluation, extended, frames, gating, planning, profiles, trackgraph  # noqa: F401  each registers its queries
