@@ -32,3 +32,11 @@ def run_available(spark: SparkSession, folder: str, schema, transform, name: str
     q = stream.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name)
+
+
+def copy_available(spark: SparkSession, folder: str, schema, out: str, state: str, files: int = 100) -> None:
+    """Append the files of a folder that are new since the last call to a table, at most ``files`` in a batch; what has been read is kept in ``state``, so a stopped run is taken up
+    where it ended."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
+    q = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
