@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import ratio
-from .metrics import calibration, selective_risk
+from .metrics import calibration, hash_share, poisson_steps, selective_risk
 
 
 def prf(df: DataFrame) -> DataFrame:
@@ -103,20 +101,6 @@ def strict_matches(truth: DataFrame, found: DataFrame, keys: list[str]) -> DataF
     return j.agg(total(hit.cast("int")).alias("tp"), total(F.when(hit, F.col("m") - 1).otherwise(F.coalesce("m", F.lit(0)))).alias("fp"), total(F.col("m").isNull().cast("int")).alias("fn"))
 
 
-def hash_share(*parts: Column | str) -> Column:
-    """A number in [0, 1) from the SHA-256 of the parts, the same in every engine."""
-    text = F.concat_ws(",", *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts])
-    return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long") / 4294967296.0
-
-
-def poisson_steps(most: int = 8) -> list[float]:
-    steps, total = [], 0.0
-    for k in range(most):
-        total += math.exp(-1) / math.factorial(k)
-        steps.append(round(total, 9))
-    return steps
-
-
 def paired_interval(df: DataFrame, key: str, difference: str, draws: int, seed: int) -> DataFrame:
     """(n, mean, low, high, better, degenerate): the mean difference of the keys, its 2.5 and 97.5 percentiles over resampled keys, the share of draws above 0 and
     whether all keys agree. A key's multiplicity in a draw is Poisson(1) from its hash: one narrow expansion by ``draws``, one partial aggregation."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,21 @@ from ..functions.geometry import ratio
 from .sequences import running_totals
 
 
+def hash_share(*parts: Column | str) -> Column:
+    """A number in [0, 1) from the SHA-256 of the parts, the same in every engine."""
+    text = F.concat_ws(",", *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts])
+    return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long") / 4294967296.0
+
+
+def poisson_steps(most: int = 8) -> list[float]:
+    """From which share on a Poisson(1) number is at least 1, 2, ..."""
+    steps, total = [], 0.0
+    for k in range(most):
+        total += math.exp(-1) / math.factorial(k)
+        steps.append(round(total, 9))
+    return steps
+
+
 def confusion(df: DataFrame, truth: Column, guess: Column, keys: tuple[str, ...] = ()) -> DataFrame:
     n = lambda c: F.count(F.when(c, 1))
     out = df.groupBy(*keys).agg(n(truth & guess).alias("tp"), n(~truth & guess).alias("fp"), n(truth & ~guess).alias("fn"), n(~truth & ~guess).alias("tn"))
@@ -37,14 +54,8 @@ def paired_bootstrap(df: DataFrame, key: str, a: str, b: str, draws: int, seed:
     """Mean difference a - b and its 2.5 and 97.5 percentiles over resampled keys. A key's multiplicity in a draw is Poisson(1) from its
     hash, so no draw gathers rows: one narrow expansion by ``draws`` and one partial aggregation."""
     per = df.groupBy(key).agg(F.sum(F.col(a) - F.col(b)).alias("d"), F.count(F.lit(1)).alias("n"))
-    drawn = per.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    u = F.pmod(F.xxhash64(key, "draw", F.lit(seed)), F.lit(1_000_003)) / 1_000_003
-    steps, total, p = [], 0.0, 2.718281828459045 ** -1
-    for k in range(8):
-        total += p
-        steps.append(total)
-        p /= k + 1
-    times = sum((F.when(u >= s, 1).otherwise(0) for s in steps), F.lit(0))
+    drawn = per.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1)))).withColumn("u", hash_share(F.lit(seed), "draw", key))
+    times = sum((F.when(F.col("u") >= s, 1).otherwise(0) for s in poisson_steps()), F.lit(0))
     means = drawn.withColumn("t", times).groupBy("draw").agg((F.sum(F.col("d") * F.col("t")) / F.sum(F.col("n") * F.col("t"))).alias("m"))
     return means.agg(F.avg("m").alias("mean"), F.expr("percentile(m, 0.025)").alias("low"), F.expr("percentile(m, 0.975)").alias("high"))
 

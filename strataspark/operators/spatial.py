@@ -14,28 +14,24 @@ from .lineage import cut, discard
 FOREST_NODES, ONE_TASK_LINKS = 2_000_000, 1_000_000
 
 
-def nearest_1d(left: DataFrame, right: DataFrame, left_value: str, right_value: str, right_id: str, width: float) -> DataFrame:
-    """Each left row with the nearest right value (ties to the smaller value, then id). Values share buckets of ``width``; each
-    bucket's edges are handed on by windows over buckets, so nothing is joined by range."""
+def nearest_1d(left: DataFrame, right: DataFrame, left_value: str, right_value: str, right_id: str) -> DataFrame:
+    """Each left row with the nearest right value (ties to the smaller value, then id). Both sides are dealt by ranges of the value and a hash, so
+    that a common value is spread; windows run within ranges, and the last right value before a range and the first after it, one row a range, are handed on."""
     cols = left.columns
-    lo = F.floor(F.col("__v") / width)
-    both = (left.withColumn("__v", F.col(left_value)).withColumn("__side", F.lit(1))
-            .unionByName(right.groupBy(F.col(right_value).alias("__v")).agg(F.min(right_id).alias("__id")).withColumn("__side", F.lit(0)), allowMissingColumns=True)
-            .withColumn("__b", lo))
+    both = (left.withColumn("__v", F.col(left_value).cast("double")).withColumn("__side", F.lit(1)).withColumn("__h", F.xxhash64(*cols))
+            .unionByName(right.groupBy(F.col(right_value).cast("double").alias("__v")).agg(F.min(right_id).alias("__id")).filter("__v is not null")
+                         .withColumn("__side", F.lit(0)).withColumn("__h", F.lit(0).cast("long")), allowMissingColumns=True))
+    both = cut(both.repartitionByRange("__v", "__side", "__h").withColumn("__part", F.spark_partition_id()))
     item = F.when(F.col("__side") == 0, F.struct(F.col("__v").alias("v"), F.col("__id").alias("id")))
-    edges = both.filter("__side = 0").groupBy("__b").agg(F.min(F.struct("__v", "__id")).alias("first"), F.max(F.struct("__v", "__id")).alias("last"))
-    # few rows: one per bucket; every bucket that holds a left row needs the nearest filled ones
-    spots = both.select("__b").distinct().join(edges, "__b", "left").withColumn("__one", F.lit(0))
-    over = Window.partitionBy("__one").orderBy("__b")
-    spots = spots.select("__b", F.last("last", True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("below"),
-                         F.first("first", True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("above"))
-    w = Window.partitionBy("__b").orderBy("__v", "__side")
+    spots = both.groupBy("__part").agg(F.min(item).alias("first"), F.max(item).alias("last"))
+    w = Window.orderBy("__part")  # one row for each range
+    spots = spots.select("__part", F.last("last", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__below"), F.first("first", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("__above"))
+    w = Window.partitionBy("__part").orderBy("__v", "__side")
     near = (both.withColumn("__down", F.last(item, True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("__up", F.first(item, True).over(w.rowsBetween(0, Window.unboundedFollowing))).filter("__side = 1").join(spots, "__b"))
-    down = F.coalesce(F.col("__down"), F.struct(F.col("below.__v").alias("v"), F.col("below.__id").alias("id")))
-    up = F.coalesce(F.col("__up"), F.struct(F.col("above.__v").alias("v"), F.col("above.__id").alias("id")))
-    near = near.withColumn("__d", down).withColumn("__u", up)
-    pick = F.when(F.col("__u.v").isNull() | (F.col("__v") - F.col("__d.v") <= F.col("__u.v") - F.col("__v")), F.col("__d")).otherwise(F.col("__u"))
+            .withColumn("__up", F.first(item, True).over(w.rowsBetween(0, Window.unboundedFollowing))).filter("__side = 1").join(F.broadcast(spots), "__part"))
+    near = near.withColumn("__d", F.coalesce("__down", "__below")).withColumn("__u", F.coalesce("__up", "__above"))
+    take = F.col("__d.v").isNotNull() & (F.col("__u.v").isNull() | (F.col("__v") - F.col("__d.v") <= F.col("__u.v") - F.col("__v")))
+    pick = F.when(take, F.col("__d")).otherwise(F.col("__u"))
     return near.select(*cols, pick["id"].alias("nearest_id"), F.abs(F.col("__v") - pick["v"]).alias("distance"))
 
 

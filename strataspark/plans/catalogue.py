@@ -202,7 +202,7 @@ SELECT d.o_orderkey, CASE WHEN u.v IS NULL OR d.o_totalprice - d.v <= u.v - d.o_
 round(CASE WHEN u.v IS NULL OR d.o_totalprice - d.v <= u.v - d.o_totalprice THEN d.o_totalprice - d.v ELSE u.v - d.o_totalprice END, 4) AS distance FROM d JOIN u ON d.o_orderkey = u.o_orderkey""")
 def nearest_1d_join(s, d) -> DataFrame:
     o, p = load(s, d, "orders").select("o_orderkey", "o_totalprice"), load(s, d, "part")
-    return spatial.nearest_1d(o, p, "o_totalprice", "p_retailprice", "p_partkey", 100.0).select("o_orderkey", "nearest_id", r("distance"))
+    return spatial.nearest_1d(o, p, "o_totalprice", "p_retailprice", "p_partkey").select("o_orderkey", "nearest_id", r("distance"))
 
 
 @query("""SELECT s_suppkey, count(*) AS n FROM supplier JOIN customer ON c_acctbal >= s_acctbal - 50 AND c_acctbal < s_acctbal + 50 AND c_nationkey = s_nationkey GROUP BY 1""")
@@ -266,7 +266,8 @@ def rollup_study_report(s, d) -> DataFrame:
     return load(s, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), r(F.sum("l_quantity"), "quantity"), r(F.avg("l_discount"), "discount"))
 
 
-@query()
+@query(f"""WITH k AS (SELECT part_key, sum(y - x) AS d, count(*) AS n FROM {P} GROUP BY 1), u AS (SELECT *, ('0x' || substr(sha256(concat_ws(',', 7, draw, part_key)), 1, 8))::BIGINT / 4294967296.0 AS u FROM k, (SELECT unnest(range(0, 200)) AS draw)),
+m AS (SELECT draw, sum(d * t) / sum(n * t) AS m FROM (SELECT *, {' + '.join(f'(u >= {x})::INT' for x in metrics.poisson_steps())} AS t FROM u) GROUP BY 1) SELECT round(avg(m), 4) AS mean, round(quantile_cont(m, 0.025), 4) AS low, round(quantile_cont(m, 0.975), 4) AS high FROM m""")
 def paired_bootstrap_ci(s, d) -> DataFrame:
     return metrics.paired_bootstrap(points(s, d), "part_key", "y", "x", 200, 7).select(r("mean"), r("low"), r("high"))
 
@@ -432,17 +433,18 @@ def radius_features(s, d) -> DataFrame:
     return neighbours.radius_features(p, p, 0.1).select("query_id", "n", r("mean_distance"), r("scatter"))
 
 
-@query()
+@query(f"""WITH RECURSIVE p AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY label DESC, id) AS i FROM {V}), n AS MATERIALIZED (SELECT a.i, list(b.i) AS near FROM p a JOIN p b ON sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) <= 0.05 GROUP BY 1),
+t(i, taken) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT n.i, CASE WHEN list_has_any(taken, near) THEN taken ELSE list_append(taken, n.i) END FROM t JOIN n ON n.i = t.i + 1), k AS MATERIALIZED (SELECT unnest(taken) AS i FROM (SELECT taken FROM t ORDER BY i DESC LIMIT 1)),
+e AS (SELECT i, unnest(near) AS o FROM n), b AS (SELECT e.i, min(k.i) AS seed FROM e JOIN k ON k.i = e.o GROUP BY 1) SELECT p.id, CASE WHEN k.i IS NOT NULL THEN p.id ELSE q.id END AS seed_id FROM p LEFT JOIN k ON k.i = p.i JOIN b ON b.i = p.i JOIN p q ON q.i = b.seed""")
 def spatial_dedupe_greedy(s, d) -> DataFrame:
     return neighbours.greedy_dedupe(places(s, d), 0.05, "label")
 
 
-@query()
+@query("""WITH RECURSIVE l AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY score, a, b) AS i FROM (SELECT x.p_partkey AS a, y.p_partkey AS b, abs(x.p_retailprice - y.p_retailprice) AS score FROM part x JOIN part y ON x.p_brand = y.p_brand AND x.p_size = y.p_size AND x.p_partkey < y.p_partkey) WHERE score BETWEEN 1 AND 200),
+t(i, used, a, b) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT, NULL::BIGINT UNION ALL SELECT l.i, CASE WHEN list_contains(used, l.a) OR list_contains(used, l.b) THEN used ELSE list_append(list_append(used, l.a), l.b) END,
+CASE WHEN list_contains(used, l.a) OR list_contains(used, l.b) THEN NULL ELSE l.a END, l.b FROM t JOIN l ON l.i = t.i + 1) SELECT t.a, t.b, round(score, 4) AS score FROM t JOIN l ON l.i = t.i WHERE t.a IS NOT NULL""")
 def pair_self_join_greedy(s, d) -> DataFrame:
-    p = load(s, d, "part").select("p_brand", "p_size", F.col("p_partkey").alias("a"), F.col("p_retailprice").alias("va"))
-    other = p.withColumnsRenamed({"a": "b", "va": "vb"})
-    score = F.abs(F.col("va") - F.col("vb"))
-    pairs = p.join(other, ["p_brand", "p_size"]).filter("a < b").withColumn("score", score).filter(F.col("score").between(1, 200))
+    pairs = neighbours.value_pairs(load(s, d, "part"), ["p_brand", "p_size"], "p_partkey", "p_retailprice", 1, 200)
     return neighbours.greedy_pairs(pairs).select("a", "b", r("score"))
 
 
@@ -463,7 +465,16 @@ def track_identity(s, d) -> DataFrame:
     return sequences.identities(daily(s, d), "user_id", "day", "value", 15.0, 3)
 
 
-@query()
+DAYS = "(SELECT user_id, floor(epoch_us(ts) / 86400000000)::BIGINT AS day, event_id AS id, value, value / 10 AS cost FROM events WHERE value IS NOT NULL)"
+
+
+@query(f"""WITH RECURSIVE s AS (SELECT user_id, day, CASE WHEN day - lag(day) OVER w > 2 THEN 1 ELSE 0 END AS new FROM (SELECT DISTINCT user_id, day FROM {DAYS}) WINDOW w AS (PARTITION BY user_id ORDER BY day)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY day)::BIGINT AS run FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY day) AS i FROM g), c AS MATERIALIZED (SELECT e.*, run, i FROM {DAYS} e JOIN k ON k.user_id = e.user_id AND k.day = e.day),
+t AS (SELECT user_id, run, i, day, id, value, cost AS total, [id] AS way, [day] AS days FROM c WHERE i = 1 UNION ALL
+SELECT user_id, run, i, day, id, value, best.total + cost, list_append(best.way, id), list_append(best.days, day) FROM (SELECT c.user_id, c.run, c.i, c.day, c.id, any_value(c.value) AS value, any_value(c.cost) AS cost,
+arg_min({{'total': t.total + 0.5 * abs(t.value - c.value), 'way': t.way, 'days': t.days}}, (t.total + 0.5 * abs(t.value - c.value), t.id)) AS best FROM t JOIN c ON c.user_id = t.user_id AND c.run = t.run AND c.i = t.i + 1 GROUP BY 1, 2, 3, 4, 5)),
+z AS (SELECT user_id, run, arg_min({{'way': way, 'days': days, 'total': total}}, (total, id)) AS b FROM t WHERE (user_id, run, i) IN (SELECT user_id, run, max(i) FROM k GROUP BY 1, 2) GROUP BY 1, 2)
+SELECT user_id, run, unnest(b.days) AS day, unnest(b.way) AS id, round(b.total, 4) AS total FROM z""")
 def dp_sequence(s, d) -> DataFrame:
     return sequences.best_sequence(daily(s, d), "user_id", "day", "value", "cost", 0.5, 2).select("user_id", "run", "day", "id", r("total"))
 
