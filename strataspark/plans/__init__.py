@@ -1 +1 @@
-from . import assets, evaluation, extended, frames, gating, graphs, intake, planning, profiles, trackgraph  # noqa: F401  each registers its queries
+from . import assets, chains, evaluation, extended, frames, gating, graphs, intake, planning, profiles, trackgraph  # noqa: F401  each registers its queries
