@@ -29,10 +29,9 @@ def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; the rejected go. Rows carry their verdict, so texts are not shuffled."""
-    carry = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns) if c != "text"}
-    found = lang_id.identify(docs, declared=F.col("lang"), host=F.col("source"), carry=carry, keep_text="t").filter("accepted")
-    return found.select(*[F.col("t" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    """Documents whose language is identified; the rejected go."""
+    found = lang_id.identify(docs, declared=F.col("lang"), host=F.col("source"), carry={ID: _row()})
+    return _without(docs, found.filter("not accepted"))
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

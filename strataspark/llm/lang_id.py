@@ -96,8 +96,8 @@ def suffix_of(url: Column) -> Column:
     return F.lower(F.when(path != "", path).otherwise(top))
 
 
-def text_scores(docs: DataFrame, text_col: str, langs: list[str], table: np.ndarray, carry: dict[str, Column], keep: bool = False) -> DataFrame:
-    """Carried columns, plus n (trigrams) and scores (tempered text log likelihood ratio of each language); the text as ``__t`` if kept."""
+def text_scores(docs: DataFrame, text_col: str, langs: list[str], table: np.ndarray, carry: dict[str, Column]) -> DataFrame:
+    """Carried columns, plus n (trigrams) and scores (tempered text log likelihood ratio of each language)."""
     shared = docs.sparkSession.sparkContext.broadcast(table)  # TABLE_CELLS cells at most
     k, bits = len(langs), len(table).bit_length() - 1
 
@@ -111,10 +111,10 @@ def text_scores(docs: DataFrame, text_col: str, langs: list[str], table: np.ndar
                 for j in range(k):
                     total = np.concatenate([[0.0], np.cumsum(shared.value[places, j], dtype=np.float64)])
                     scores[first: first + len(counts), j] = (total[ends] - total[ends - counts]) * TEMPER
-            yield with_columns(batch if keep else batch.drop_columns(["__t"]), n=pa.array(n), scores=list_array(np.round(scores, 6)))
+            yield with_columns(batch.drop_columns(["__t"]), n=pa.array(n), scores=list_array(np.round(scores, 6)))
 
     kept = docs.select(*[c.alias(name) for name, c in carry.items()], F.col(text_col).alias("__t"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if keep or f.name != "__t")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "__t")
     return kept.mapInArrow(run, schema + ", n long, scores array<double>")
 
 
@@ -125,8 +125,8 @@ def softmax(scores: Column) -> Column:
 
 
 def identify(docs: DataFrame, text_col: str = "text", declared: Column | None = None, url: Column | None = None,
-             host: Column | None = None, carry: dict[str, Column] | None = None, keep_text: str | None = None) -> DataFrame:
-    """Carried columns (and the text under the name ``keep_text``), plus lang, posterior, n_grams and accepted for each row.
+             host: Column | None = None, carry: dict[str, Column] | None = None) -> DataFrame:
+    """Carried columns, plus lang, posterior, n_grams and accepted for each row.
 
     The posterior of a language is proportional to P(text) P(declared markup language) P(address suffix) P(language
     at the host). Text: letter trigrams, trained on a bounded sample of rows with a declared language. A grouped
@@ -139,10 +139,10 @@ def identify(docs: DataFrame, text_col: str = "text", declared: Column | None =
     declared = F.lit(None).cast("string") if declared is None else declared
     langs, table = train(docs, text_col, F.lower(F.nullif(declared, F.lit(""))))
     none = lambda c: F.coalesce(F.lower(c), F.lit(""))
-    own = [F.col(f"`{c}`") for c in carry or {}] + ([F.col("__t").alias(keep_text)] if keep_text else [])
+    own = [F.col(f"`{c}`") for c in carry or {}]
     carry = {**(carry or {}), "__declared": none(declared), "__suffix": none(suffix_of(url)) if url is not None else F.lit(""),
              "__host": none(host) if host is not None else F.lit("")}
-    scored = text_scores(docs, text_col, langs, table, carry, bool(keep_text))
+    scored = text_scores(docs, text_col, langs, table, carry)
     if not langs:
         return scored.select(*own, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.col("n").alias("n_grams"), F.lit(False).alias("accepted"))
     scored = cut(scored)
