@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from strataspark.plans import catalogue
@@ -20,7 +21,7 @@ def duck():
 
 def rows(df):
     names = sorted(df.columns)
-    show = lambda v: "" if v is None or v != v else f"{v:.5g}" if isinstance(v, float) else str(v)
+    show = lambda v: "" if v is None or v is pd.NA or v != v else f"{v:.5g}" if isinstance(v, float) else str(v)
     return names, sorted(tuple(map(show, r)) for r in df[names].astype(object).itertuples(index=False, name=None))
 
 
