@@ -78,17 +78,17 @@ def edge_changes(s, d) -> DataFrame:
 
 
 @query(f"""WITH q AS (SELECT part_key, count(*) AS n, quantile_cont(y, 0.01) AS lo, quantile_cont(y, 0.99) AS hi FROM {P} WHERE abs(z - 0.1 * x) <= 1.01 GROUP BY 1)
-SELECT k.part_key, coalesce(n, 0) AS n, round(CASE WHEN n >= 5 THEN lo END, 6) AS low, round(CASE WHEN n >= 5 THEN hi END, 6) AS high, CASE WHEN n >= 5 THEN 'supported' ELSE 'data_insufficient' END AS state FROM (SELECT DISTINCT part_key FROM {P}) k LEFT JOIN q ON q.part_key = k.part_key""")
+SELECT k.part_key, coalesce(n, 0) AS n, round(CASE WHEN n >= 5 THEN lo END, 8) AS low, round(CASE WHEN n >= 5 THEN hi END, 8) AS high, CASE WHEN n >= 5 THEN 'supported' ELSE 'data_insufficient' END AS state FROM (SELECT DISTINCT part_key FROM {P}) k LEFT JOIN q ON q.part_key = k.part_key""")
 def support_extent(s, d) -> DataFrame:
     out = ax.support_extent(points(s, d), "part_key", "y", F.col("z") - 0.1 * F.col("x"), 1.01, 5)
-    return out.select("part_key", "n", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "state")
+    return out.select("part_key", "n", F.round("low", 8).alias("low"), F.round("high", 8).alias("high"), "state")
 
 
 @query(f"""WITH n AS (SELECT *, max(x) OVER (PARTITION BY part_key) AS st FROM {P} WHERE abs(x - 40) <= 9), j AS (SELECT * FROM n WHERE x >= st - 2), p AS (SELECT part_key, st, class, sum(y) AS s, count(*) AS n, max(z) AS top FROM j GROUP BY 1, 2, 3)
-SELECT part_key, st AS station, round(sum(s) / sum(n), 4) AS across, round(avg(top), 4) AS top FROM p GROUP BY 1, 2""")
+SELECT part_key, st AS station, round(sum(s) / sum(n), 10) AS across, round(avg(top), 4) AS top FROM p GROUP BY 1, 2""")
 def endpoint_signature(s, d) -> DataFrame:
     p = points(s, d).withColumnRenamed("class", "part")
-    return ax.endpoint_signature(p, "part_key", "x", F.lit(40.0), 9.0, 2.0).select("part_key", "station", r("across"), r("top"))
+    return ax.endpoint_signature(p, "part_key", "x", F.lit(40.0), 9.0, 2.0).select("part_key", "station", F.round("across", 10).alias("across"), r("top"))
 
 
 @query(f"SELECT round_even(y / 0.8, 0)::BIGINT AS ky, round_even(z / 0.8, 0)::BIGINT AS kz, count(*) AS n, round(avg(y), 4) AS y, round(avg(z), 4) AS z FROM {P} GROUP BY 1, 2")
@@ -144,13 +144,13 @@ KNOT = "(SELECT l_suppkey AS k, l_quantity AS s, avg(l_discount) * 100 AS lc, av
 
 @query(f"""WITH p AS (SELECT l_suppkey AS k, l_orderkey, l_linenumber, l_partkey, l_quantity AS s, l_extendedprice / 10000 AS c FROM lineitem), j AS (SELECT p.*, (SELECT max(s) FROM {KNOT} n WHERE n.k = p.k AND n.s <= p.s) AS s0, (SELECT min(s) FROM {KNOT} n WHERE n.k = p.k AND n.s >= p.s) AS s1 FROM p),
 i AS (SELECT j.*, CASE WHEN s1 > s0 THEN (j.s - s0) / (s1 - s0) ELSE 0 END AS t, a.lc AS lc0, b.lc AS lc1, a.hc AS hc0, b.hc AS hc1, a.lz AS lz0, b.lz AS lz1, a.hz AS hz0, b.hz AS hz1 FROM j LEFT JOIN {KNOT} a ON a.k = j.k AND a.s = s0 LEFT JOIN {KNOT} b ON b.k = j.k AND b.s = s1)
-SELECT l_orderkey, l_linenumber, l_partkey, k, round(lz0 + (lz1 - lz0) * t + greatest(0, least(1, (c - (lc0 + (lc1 - lc0) * t)) / greatest((hc0 + (hc1 - hc0) * t) - (lc0 + (lc1 - lc0) * t), 1e-9))) * ((hz0 + (hz1 - hz0) * t) - (lz0 + (lz1 - lz0) * t)), 4) AS elevation FROM i""")
+SELECT l_orderkey, l_linenumber, l_partkey, k, round(lz0 + (lz1 - lz0) * t + greatest(0, least(1, (c - (lc0 + (lc1 - lc0) * t)) / greatest((hc0 + (hc1 - hc0) * t) - (lc0 + (lc1 - lc0) * t), 1e-9))) * ((hz0 + (hz1 - hz0) * t) - (lz0 + (lz1 - lz0) * t)), 8) AS elevation FROM i""")
 def section_elevation(s, d) -> DataFrame:
     c, li = F.col, load(s, d, "lineitem")
     knots = li.filter("l_quantity % 10 = 5").groupBy(c("l_suppkey").alias("k"), c("l_quantity").alias("s")).agg((F.avg("l_discount") * 100).alias("low_c"), (F.avg("l_tax") * 100).alias("low_z"))
     knots = knots.withColumn("high_c", c("low_c") + 3).withColumn("high_z", c("low_z") + 1 + c("s") % 3)
     rows = li.select(c("l_suppkey").alias("k"), "l_orderkey", "l_linenumber", "l_partkey", c("l_quantity").alias("s"), (c("l_extendedprice") / 10000).alias("c"))
-    return ax.section_elevation(rows, knots, "k").select("l_orderkey", "l_linenumber", "l_partkey", "k", r("elevation"))
+    return ax.section_elevation(rows, knots, "k").select("l_orderkey", "l_linenumber", "l_partkey", "k", F.round("elevation", 8).alias("elevation"))
 
 
 @query(f"""WITH a AS (SELECT floor(x / 5)::BIGINT AS cx, floor(y / 5)::BIGINT AS cy, count(*) AS n FROM {P} WHERE z < 2 GROUP BY 1, 2), b AS (SELECT floor(x / 5)::BIGINT AS cx, floor(y / 5)::BIGINT AS cy, count(*) AS n FROM {P} WHERE z > 8 GROUP BY 1, 2)

@@ -88,9 +88,9 @@ def small_asset_rescan(s, d) -> DataFrame:
 
 
 @query(f"""WITH m AS (SELECT part_key, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, var_pop(x) AS sxx, var_pop(y) AS syy, covar_pop(x, y) AS sxy, covar_pop(x, z) AS sxz, covar_pop(y, z) AS syz FROM {P} GROUP BY 1 HAVING count(*) >= 3), f AS (SELECT *, (sxz * syy - syz * sxy) / det AS a, (syz * sxx - sxz * sxy) / det AS b FROM (SELECT *, sxx * syy - sxy * sxy AS det FROM m) WHERE det > 1e-6),
-q AS (SELECT p.part_key, count(*) AS n, any_value(a) AS a, any_value(b) AS b, quantile_cont(abs(z - a * x - b * y - (mz - a * mx - b * my)), 0.9) AS p90 FROM {P} p JOIN f ON f.part_key = p.part_key GROUP BY 1) SELECT part_key, n, round(a, 4) AS a, round(b, 4) AS b, round(p90, 4) AS p90, CASE WHEN p90 <= 4.5 THEN 'planar' WHEN p90 <= 5 THEN 'shallow' ELSE 'curved' END AS shape FROM q""")
+q AS (SELECT p.part_key, count(*) AS n, any_value(a) AS a, any_value(b) AS b, quantile_cont(abs(z - a * x - b * y - (mz - a * mx - b * my)), 0.9) AS p90 FROM {P} p JOIN f ON f.part_key = p.part_key GROUP BY 1) SELECT part_key, n, round(a, 4) + 0 AS a, round(b, 4) + 0 AS b, round(p90, 4) AS p90, CASE WHEN p90 <= 4.5 THEN 'planar' WHEN p90 <= 5 THEN 'shallow' ELSE 'curved' END AS shape FROM q""")
 def surface_shapes(s, d) -> DataFrame:
-    return ch.plane_shape(points(s, d).select("part_key", "x", "y", "z"), "part_key", 4.5, 5.0).select("part_key", "n", r("a"), r("b"), r("p90"), "shape")
+    return ch.plane_shape(points(s, d).select("part_key", "x", "y", "z"), "part_key", 4.5, 5.0).select("part_key", "n", (F.round("a", 4) + 0).alias("a"), (F.round("b", 4) + 0).alias("b"), r("p90"), "shape")
 
 
 @query(f"""WITH c AS (SELECT kind, x0 AS s, y0 AS c FROM {BOX} WHERE p_size % 2 = 0), q AS (SELECT kind, x0 + 0.25 AS u, y0 + p_size % 3 AS v FROM {BOX} WHERE p_size % 2 = 1), j AS (SELECT q.*, v - c AS e, row_number() OVER (PARTITION BY q.kind, u, v ORDER BY abs(u - s), s, c) AS rn, abs(u - s) AS d FROM q JOIN c ON c.kind = q.kind AND floor(c.s / 3) - floor(u / 3) BETWEEN -1 AND 1),

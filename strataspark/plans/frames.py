@@ -108,11 +108,11 @@ def equirectangular_pixels(s, d) -> DataFrame:
     return places(s, d).select("id", F.round(u, 3).alias("u"), F.round(v, 3).alias("v")).filter("u is not null")
 
 
-@query(f"""SELECT row_key, row_no, part_key, round(greatest(0.0, least(1.0, (x - 10) / 15)), 4) AS rising, round(1.0 - greatest(0.0, least(1.0, y / 40)), 4) AS falling,
+@query(f"""SELECT row_key, row_no, part_key, round(greatest(0.0, least(1.0, (x - 10) / 15)), 4) AS rising, round(1.0 - greatest(0.0, least(1.0, y / 40)), 9) AS falling,
 round(t * t * (3 - 2 * t), 4) AS smooth FROM (SELECT *, greatest(0.0, least(1.0, (x - 5) / 30)) AS t FROM {P})""")
 def score_ramps(s, d) -> DataFrame:
     x = F.col("x")
-    return points(s, d).select("row_key", "row_no", "part_key", r(scores.ramp(x, 10.0, 15.0), "rising"), r(scores.falloff(F.col("y"), 40.0), "falling"), r(scores.smoothstep(x, 5.0, 35.0), "smooth"))
+    return points(s, d).select("row_key", "row_no", "part_key", r(scores.ramp(x, 10.0, 15.0), "rising"), F.round(scores.falloff(F.col("y"), 40.0), 9).alias("falling"), r(scores.smoothstep(x, 5.0, 35.0), "smooth"))
 
 
 RGB = f"(SELECT part_key, x * 5 AS r, least(255, y * 3) AS g, z * 25 AS b FROM {P})"
@@ -190,10 +190,10 @@ def candidates(s, d) -> DataFrame:
     return load(s, d, "part").select(k.alias("box_id"), F.col("p_brand").alias("kind"), *[v.cast("double").alias(c) for c, v in ends.items()], "p_size")
 
 
-@query(f"SELECT box_id, count(*) AS n, round(min(z), 4) AS low, round(max(z), 4) AS high, round(avg(y), 4) AS mean_y FROM {P} p JOIN {BOX} b ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 AND z BETWEEN z0 AND z1 GROUP BY 1")
+@query(f"SELECT box_id, count(*) AS n, round(min(z), 4) AS low, round(max(z), 4) AS high, round(avg(y), 10) AS mean_y FROM {P} p JOIN {BOX} b ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 AND z BETWEEN z0 AND z1 GROUP BY 1")
 def candidate_box_extraction(s, d) -> DataFrame:
     held = bx.points_in_boxes(points(s, d), candidates(s, d), 3.0)
-    return held.groupBy("box_id").agg(F.count(F.lit(1)).alias("n"), r(F.min("z"), "low"), r(F.max("z"), "high"), r(F.avg("y"), "mean_y"))
+    return held.groupBy("box_id").agg(F.count(F.lit(1)).alias("n"), r(F.min("z"), "low"), r(F.max("z"), "high"), F.round(F.avg("y"), 10).alias("mean_y"))
 
 
 @query(f"SELECT box_id, count(*) AS n, count(DISTINCT floor(z / 0.5)) AS levels FROM {P} p JOIN {BOX} b ON x BETWEEN x0 - 0.5 AND x1 + 0.5 AND y BETWEEN y0 - 0.5 AND y1 + 0.5 AND z BETWEEN z0 - 1 AND z1 + 1 GROUP BY 1")

@@ -21,11 +21,11 @@ def r6(name: str) -> Column:
 @query(f"""WITH m AS (SELECT part_key, avg(x) AS ox, avg(y) AS oy, var_pop(x) AS sxx, var_pop(y) AS syy, covar_pop(x, y) AS sxy, max(x) - min(x) AS wx, max(y) - min(y) AS wy, arg_max(x, (row_key, row_no, x)) - arg_min(x, (row_key, row_no, x)) AS dx,
 arg_max(y, (row_key, row_no, x)) - arg_min(y, (row_key, row_no, x)) AS dy FROM {P} GROUP BY 1 HAVING count(*) > 2), a AS (SELECT *, 0.5 * atan2(2 * sxy, sxx - syy) AS t, CASE WHEN wy >= wx THEN sxy / syy ELSE 1 END AS qx, CASE WHEN wy >= wx THEN 1 ELSE sxy / sxx END AS qy FROM m),
 s AS (SELECT *, CASE WHEN cos(t) * dx + sin(t) * dy < 0 THEN -1 ELSE 1 END AS s1, CASE WHEN qx * dx + qy * dy < 0 THEN -1 ELSE 1 END AS s2 FROM a)
-SELECT part_key, round(ox, 4) AS ox, round(oy, 4) AS oy, round(cos(t) * s1, 4) AS ax, round(sin(t) * s1, 4) AS ay, round(qx * s2 / sqrt(qx * qx + qy * qy), 4) AS rx, round(qy * s2 / sqrt(qx * qx + qy * qy), 4) AS ry FROM s""")
+SELECT part_key, round(ox, 4) AS ox, round(oy, 4) AS oy, round(cos(t) * s1, 4) + 0 AS ax, round(sin(t) * s1, 4) + 0 AS ay, round(qx * s2 / sqrt(qx * qx + qy * qy), 4) + 0 AS rx, round(qy * s2 / sqrt(qx * qx + qy * qy), 4) + 0 AS ry FROM s""")
 def oriented_frames(s, d) -> DataFrame:
     p = points(s, d)
     many = p.groupBy("part_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").select("part_key")
-    return pf.oriented_frame(p.join(many, "part_key"), "part_key", "x", "y", ["row_key", "row_no", "x"]).select("part_key", *[r(c) for c in ("ox", "oy", "ax", "ay", "rx", "ry")])
+    return pf.oriented_frame(p.join(many, "part_key"), "part_key", "x", "y", ["row_key", "row_no", "x"]).select("part_key", r("ox"), r("oy"), *[(F.round(c, 4) + 0).alias(c) for c in ("ax", "ay", "rx", "ry")])
 
 
 @query(f"""WITH m AS (SELECT t.user_id, t.tile, count(*) AS n, var_pop(chainage_m) AS sxx, var_pop(position) AS syy, covar_pop(chainage_m, position) AS sxy FROM {ZTILES} t JOIN {CHAIN} c ON c.user_id = t.user_id AND chainage_m BETWEEN start - 150 AND stop + 150 GROUP BY 1, 2 HAVING count(*) >= 2)
@@ -107,9 +107,9 @@ def column_support(s, d) -> DataFrame:
     return pf.occupancy(held, ["box_id"], "z", 0.5).select("box_id", "n", r("low"), r("high"), "bins", "filled", r("ratio"), "longest_gap")
 
 
-@query(f"""SELECT part_key, least(7, floor((z - 1) / 1))::BIGINT AS level, count(*) AS n, round(quantile_cont(y, 0.05), 6) AS p05, round(quantile_cont(y, 0.5), 6) AS p50, round(quantile_cont(y, 0.95), 6) AS p95, round(quantile_cont(y, 0.95) - quantile_cont(y, 0.05), 6) AS width FROM {P} WHERE z BETWEEN 1 AND 9 GROUP BY 1, 2""")
+@query(f"""SELECT part_key, least(7, floor((z - 1) / 1))::BIGINT AS level, count(*) AS n, round(quantile_cont(y, 0.05), 8) AS p05, round(quantile_cont(y, 0.5), 8) AS p50, round(quantile_cont(y, 0.95), 8) AS p95, round(quantile_cont(y, 0.95) - quantile_cont(y, 0.05), 8) AS width FROM {P} WHERE z BETWEEN 1 AND 9 GROUP BY 1, 2""")
 def section_profile(s, d) -> DataFrame:
-    return pf.sections(points(s, d), "part_key", "z", "y", 1.0, 9.0, 1.0).select("part_key", "level", "n", r6("p05"), r6("p50"), r6("p95"), r6("width"))
+    return pf.sections(points(s, d), "part_key", "z", "y", 1.0, 9.0, 1.0).select("part_key", "level", "n", *[F.round(k, 8).alias(k) for k in ("p05", "p50", "p95", "width")])
 
 
 HIST = "(SELECT event_type, floor(value)::BIGINT AS bin, count(*) * 1.0 AS n FROM events WHERE value IS NOT NULL GROUP BY 1, 2)"
