@@ -27,8 +27,9 @@ def nearest_1d(left: DataFrame, right: DataFrame, left_value: str, right_value:
     w = Window.orderBy("__part")  # one row for each range
     spots = spots.select("__part", F.last("last", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__below"), F.first("first", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("__above"))
     w = Window.partitionBy("__part").orderBy("__v", "__side")
+    back = Window.partitionBy("__part").orderBy(F.col("__v").desc(), "__side")  # a frame that only grows: one pass, where one that shrinks is quadratic
     near = (both.withColumn("__down", F.last(item, True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("__up", F.first(item, True).over(w.rowsBetween(0, Window.unboundedFollowing))).filter("__side = 1").join(F.broadcast(spots), "__part"))
+            .withColumn("__up", F.last(item, True).over(back.rowsBetween(Window.unboundedPreceding, 0))).filter("__side = 1").join(F.broadcast(spots), "__part"))
     near = near.withColumn("__d", F.coalesce("__down", "__below")).withColumn("__u", F.coalesce("__up", "__above"))
     take = F.col("__d.v").isNotNull() & (F.col("__u.v").isNull() | (F.col("__v") - F.col("__d.v") <= F.col("__u.v") - F.col("__v")))
     pick = F.when(take, F.col("__d")).otherwise(F.col("__u"))
