@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_rotation, decontam, html_template, lang_id, license_scan, line_dedup, mih, mixing, ngram_join, pii
+from . import bpe, chat_rotation, decontam, html_template, lang_id, license_scan, line_dedup, mih, mixing, ngram_join, pii
 from .common import table
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 
 def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_template.extract_text(table(spark, sf_dir, "pages"))
@@ -62,10 +64,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.load_vocabulary(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    ids = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, carry={"doc_id": F.col("doc_id")})
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bpe.decode(ids, vocabulary).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_extract, op2_ngram_jaccard, op3_lang_id, pages_language, op4_source_mix, op5_pii, op6_ann_mih, op7_line_dedup,
-        op8_decontaminate, op9_chat_rotation, op10_license_scan)}
+        op8_decontaminate, op9_chat_rotation, op10_license_scan, op11_bpe_codec)}
 
 
 SQL = {
