@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_rotation, decontam, html_template, lang_id, license_scan, line_dedup, mih, mixing, ngram_join, pii
+from . import bpe, chat_rotation, conv_trie, decontam, html_template, lang_id, license_scan, line_dedup, mih, mixing, ngram_join, pii, spelling
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -73,13 +73,58 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, vocabulary).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.count_words(table(spark, sf_dir, "documents"), F.col("text"), F.col("doc_id")))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conv_trie.trie(*conv_trie.rebuilt(conv_trie.positions(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_extract, op2_ngram_jaccard, op3_lang_id, pages_language, op4_source_mix, op5_pii, op6_ann_mih, op7_line_dedup,
-        op8_decontaminate, op9_chat_rotation, op10_license_scan, op11_bpe_codec)}
+        op8_decontaminate, op9_chat_rotation, op10_license_scan, op11_bpe_codec, op12_spelling_variants, op13_conversation_trie)}
+
 
+#: crc32 of the characters of ``x``, all below U+0100, in UTF-8; ``tab`` is the table of CRC.
+CRC_TABLE = "(SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) FROM range(256) r(i))"
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({x}, ''), lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT]
+    ELSE [195::BIGINT, unicode(s)::BIGINT - 64] END))), lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1])), 4294967295)"""
 
 SQL = {
+    "op12_spelling_variants": r"""
+WITH RECURSIVE tab AS MATERIALIZED (SELECT """ + CRC_TABLE + r""" AS tab),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents),
+d AS (SELECT doc_id, w, count(*) AS c FROM r WHERE length(w) >= 6 GROUP BY ALL),
+h AS (SELECT w, c, """ + CRC.format(x="coalesce(doc_id::VARCHAR, '') || ':' || w") + r""" AS h FROM d, tab),
+x AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM h),
+v AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM x WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+k AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v) t),
+l AS MATERIALIZED (SELECT x.word AS word, y.word AS other FROM k x JOIN k y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+      UNION SELECT k.word, v.word FROM k JOIN v ON v.word = k.a || k.b UNION SELECT v.word, k.word FROM k JOIN v ON v.word = k.a || k.b),
+s AS (SELECT l.word, count(*) AS n_near, arg_min(l.other, (-v.n, l.other)) AS best, max(v.n) AS m FROM l JOIN v ON v.word = l.other GROUP BY l.word),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(s.n_near, 0) AS n_near, CASE WHEN s.m >= 5 * v.n THEN s.best END AS form, CASE WHEN s.m >= 5 * v.n THEN s.m END AS form_n FROM v LEFT JOIN s USING (word)),
+go(word, root) AS (SELECT word, word FROM f UNION ALL SELECT g.word, f.form FROM go g JOIN f ON f.word = g.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n FROM f JOIN go g ON g.word = f.word JOIN f e ON e.word = g.root AND e.form IS NULL""",
+    "op13_conversation_trie": """
+WITH tab AS MATERIALIZED (SELECT """ + CRC_TABLE + """ AS tab),
+o AS MATERIALIZED (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (SELECT i.conv_id, """ + CRC.format(x="i.conv_id::VARCHAR") + """ % 6 AS h FROM (SELECT DISTINCT conv_id FROM o) i, tab),
+b AS (SELECT c.conv_id, 0 AS own, p, role, text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100 AND p <= h
+      UNION ALL SELECT c.conv_id, 1, p, role, text FROM c JOIN o USING (conv_id) WHERE p > h),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS depth FROM b),
+path AS MATERIALIZED (SELECT conv_id, depth, length(text) AS n, list(role || chr(1) || text) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM t
+      UNION ALL SELECT conv_id, 0, 0, []::VARCHAR[] FROM c),
+size AS (SELECT conv_id, max(depth) AS size FROM path GROUP BY conv_id),
+node AS MATERIALIZED (SELECT path, depth, max(n) AS n, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CASE WHEN depth = size THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends
+      FROM path JOIN size USING (conv_id) GROUP BY path, depth),
+kids AS MATERIALIZED (SELECT path[1:depth - 1] AS path, count(*) AS k FROM node WHERE depth > 0 GROUP BY ALL),
+up AS (SELECT n.*, coalesce(k.k, 0) AS k, unnest(range(0, n.depth + 1)) AS d FROM node n LEFT JOIN kids k ON k.path = n.path),
+below AS (SELECT path[1:d] AS path, d, count(*) FILTER (k = 0) AS n_leaves, sum((n_convs - 1) * n) AS saved FROM up GROUP BY ALL)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(k.k, 0) AS n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM node n JOIN below s ON s.path = n.path AND s.d = n.depth LEFT JOIN kids k ON k.path = n.path LEFT JOIN node q ON n.depth > 0 AND q.path = n.path[1:n.depth - 1] AND q.depth = n.depth - 1""",
     "op2_ngram_jaccard": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
