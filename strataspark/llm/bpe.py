@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import re
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MEMO_ENTRIES = 300_000  # of pieces, and of pairs of tokens, that a worker remembers at once
+MEMO_WORDS = 800_000  # and of words with what stands beside them
 MEMO_CHARS = 64  # longer pieces are encoded without being remembered
 BATCH_IDS = 2_000_000  # ids of a record batch that is handed on
 
@@ -82,16 +84,20 @@ def compatibility(ranks: dict[bytes, int], names: dict[int, bytes], halves: dict
 
 
 class Memo(dict):
-    """Results of ``make`` by string; emptied when full, and long strings are not kept."""
+    """Results of ``make`` by string. When half of ``most`` are held they become the old half, from which strings that are met again are taken over; the old
+    half before is forgotten. Long strings are not kept."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
-        self.make = make
+        self.make, self.half, self.old = make, most // 2, {}
 
     def __missing__(self, key: str) -> bytes:
-        out = self.make(key)
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
         if len(key) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= self.half:
+                self.old = dict(self)
                 self.clear()
             self[key] = out
         return out
@@ -108,34 +114,32 @@ class Encoder:
         self.shorter = {t: next((s for n in range(len(names[t]) - 1, 0, -1) if (s := self.ranks.get(names[t][:n])) in vocabulary.halves), -1) for t in made}
         self.matches = ahocorasick.Automaton()
         for t in made:
-            self.matches.add_word(names[t].decode("latin-1"), (t, self.size[t]))
+            self.matches.add_word(names[t].decode("latin-1"), t)
         self.matches.make_automaton()
         self.fits = compatibility(self.ranks, names, vocabulary.halves)
         self.known: dict[tuple[int, int], bool] = {}
         self.split = regex.compile(vocabulary.pattern).findall
-        self.pieces = Memo(lambda piece: np.array(self.piece(piece.encode()), np.int32).tobytes())
-        self.words = Memo(lambda word: self.parts(" " + word))
+        self.pieces = Memo(lambda piece: array("i", self.piece(piece.encode())).tobytes(), MEMO_ENTRIES)
+        self.words = Memo(lambda word: self.parts(" " + word), MEMO_WORDS)
 
     def compatible(self, a: int, b: int) -> bool:
-        found = self.known.get((a, b))
-        if found is None:
-            if len(self.known) >= MEMO_ENTRIES:
-                self.known.clear()
-            found = self.known[a, b] = self.fits(a, b)
+        if len(self.known) >= MEMO_ENTRIES:
+            self.known.clear()
+        found = self.known[a, b] = self.fits(a, b)
         return found
 
     def piece(self, data: bytes) -> list[int]:
         """The ids of one match of the pattern."""
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
-        n = len(data)
+        n, size, known = len(data), self.size, self.known
         longest = [0] * n
-        for end, (t, size) in self.matches.iter(data.decode("latin-1")):
-            longest[end - size + 1] = t  # ends rise, so the longest comes last
+        for end, t in self.matches.iter(data.decode("latin-1")):
+            longest[end - size[t] + 1] = t  # ends rise, so the longest comes last
         dead, path, at, t = bytearray(n + 1), [], 0, longest[0]
         while True:
-            end = at + self.size[t]
-            if not dead[end] and (not path or self.compatible(path[-1], t)):
+            end = at + size[t]
+            if not dead[end] and (not path or (fits := known.get((path[-1], t))) or fits is None and self.compatible(path[-1], t)):
                 path.append(t)
                 if end == n:
                     return path
@@ -145,7 +149,7 @@ class Encoder:
             else:
                 dead[at] = 1
                 t = path.pop()
-                at -= self.size[t]
+                at -= size[t]
 
     def parts(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))

@@ -88,6 +88,7 @@ def test_a_vocabulary_without_all_bytes_is_refused(tmp_path):
 
 def test_memory_of_words_stays_bounded(vocabulary, monkeypatch):
     monkeypatch.setattr(bpe, "MEMO_ENTRIES", 50)
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 50)
     encoder = bpe.SpacedEncoder(vocabulary)
     text = " ".join(f"word{i} {'y' * i}" for i in range(400))
     assert np.frombuffer(encoder.encode(text), np.int32).tolist() == plain(vocabulary, text)
