@@ -11,7 +11,7 @@ from ..operators.grid import voxel_holdout
 from ..operators.lineage import shared_folder
 from ..sources import intake as io
 from ..sources.tables import load, points
-from ..streaming import windows
+from ..streaming import identity, windows
 from .catalogue import P, query, r
 
 
@@ -84,6 +84,19 @@ def file_digests(s, d) -> DataFrame:
     return io.verify_files(s, f"{path}/part-*", s.read.parquet(list_)).groupBy("state").agg((F.count(F.lit(1)) > 0).alias("seen"))
 
 
+@query()
+def stream_identity(s, d) -> DataFrame:
+    """Users' events of a day tied to their tracks of the last three days, over a stream that stops after the earlier half of the time and goes on from its checkpoint; days that the
+    watermark, half a day behind, has not passed are still open."""
+    e = load(s, d, "events").select("user_id", "ts", F.col("event_id").alias("id"), "value")
+    ends = e.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"), F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
+    base, half = fresh(s, "identity"), ((ends.a or 0) + (ends.b or 0)) // 2
+    for first in (True, False):
+        e.filter((F.unix_micros(F.col("ts").cast("timestamp")) < half) == first).write.mode("append").parquet(f"{base}/in")
+        identity.tie_available(s, f"{base}/in", e.schema, f"{base}/out", f"{base}/state", key="user_id", at="ts", value="value", length_ms=86_400_000, late="12 hours", gate=15.0, most=3)
+    return s.read.schema("user_id long, batch long, id long, track_id long").parquet(f"{base}/out")
+
+
 @query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def resumed_stream(s, d) -> DataFrame:
     """Events that come in two lots: a stream reads the first, stops, and goes on from its checkpoint with the second; no row is lost or read twice."""
