@@ -119,8 +119,9 @@ class Encoder:
         self.fits = compatibility(self.ranks, names, vocabulary.halves)
         self.known: dict[tuple[int, int], bool] = {}
         self.split = regex.compile(vocabulary.pattern).findall
+        self.letters = r"| ?\p{L}+|" in vocabulary.pattern
         self.pieces = Memo(lambda piece: array("i", self.piece(piece.encode())).tobytes(), MEMO_ENTRIES)
-        self.words = Memo(lambda word: self.parts(" " + word), MEMO_WORDS)
+        self.words = Memo(self.word, MEMO_WORDS)
 
     def compatible(self, a: int, b: int) -> bool:
         if len(self.known) >= MEMO_ENTRIES:
@@ -164,6 +165,10 @@ class SpacedEncoder(Encoder):
 
     CUT = re.compile(r" (?=\S)")
 
+    def word(self, word: str) -> bytes:
+        """What a space and ``word`` give; letters alone are one match."""
+        return array("i", self.piece(f" {word}".encode())).tobytes() if word.isalpha() and self.letters else self.parts(" " + word)
+
     def encode(self, text: str) -> bytes:
         first, *words = self.CUT.split(text)
         return self.parts(first) + b"".join(map(self.words.__getitem__, words))
