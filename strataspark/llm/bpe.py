@@ -121,7 +121,6 @@ class Encoder:
         self.split = regex.compile(vocabulary.pattern).findall
         self.letters = r"| ?\p{L}+|" in vocabulary.pattern
         self.pieces = Memo(lambda piece: array("i", self.piece(piece.encode())).tobytes(), MEMO_ENTRIES)
-        self.words = Memo(self.word, MEMO_WORDS)
 
     def compatible(self, a: int, b: int) -> bool:
         if len(self.known) >= MEMO_ENTRIES:
@@ -165,6 +164,10 @@ class SpacedEncoder(Encoder):
 
     CUT = re.compile(r" (?=\S)")
 
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(vocabulary)
+        self.words = Memo(self.word, MEMO_WORDS)
+
     def word(self, word: str) -> bytes:
         """What a space and ``word`` give; letters alone are one match."""
         return array("i", self.piece(f" {word}".encode())).tobytes() if word.isalpha() and self.letters else self.parts(" " + word)
