@@ -1 +1 @@
-from . import assets, chains, closing, evaluation, extended, frames, gating, graphs, intake, planning, profiles, robust, trackgraph  # noqa: F401  each registers its queries
+from . import assets, chains, closing, evaluation, extended, frames, gating, graphs, intake, matching, planning, profiles, robust, trackgraph  # noqa: F401  each registers its queries

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..operators import fits, gates, grid, intervals, metrics, neighbours, registry, sequences, spatial
+from ..operators import fits, gates, grid, intervals, matching, metrics, neighbours, registry, sequences, spatial
 from ..sources.tables import intake_profile, load, points, trajectory
 from ..streaming import windows
 
@@ -452,7 +452,7 @@ def pair_self_join_greedy(s, d) -> DataFrame:
 def assignment_match(s, d) -> DataFrame:
     p = places(s, d)
     near = neighbours.radius_join(p.filter("id % 2 = 0"), p.filter("id % 2 = 1"), 0.06, ("label",))
-    return sequences.assign(near.select(F.col("query_id").alias("left"), F.col("id").alias("right"), F.col("distance").alias("cost"))).select("left", "right", r("cost"))
+    return matching.assign(near.select(F.col("query_id").alias("left"), F.col("id").alias("right"), F.col("distance").alias("cost"))).select("left", "right", r("cost"))
 
 
 def daily(s, d) -> DataFrame:

@@ -36,7 +36,7 @@ F1 = "CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision
 x AS (SELECT 'detection' AS label, (ti IS NOT NULL AND fi IS NOT NULL)::INT AS tp, (ti IS NULL)::INT AS fp, (fi IS NULL)::INT AS fn FROM j UNION ALL SELECT tt, (fi IS NOT NULL AND tt = ft)::INT, 0, (fi IS NULL OR tt <> ft)::INT FROM j WHERE ti IS NOT NULL
 UNION ALL SELECT ft, 0, 1, 0 FROM j WHERE fi IS NOT NULL AND (ti IS NULL OR tt <> ft)), n AS (SELECT label, sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(fn)::BIGINT AS fn FROM x GROUP BY 1), q AS (SELECT *, {PRF} FROM n), k AS (SELECT *, {F1} FROM q)
 SELECT label, tp, fp, fn, round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1 FROM k UNION ALL SELECT 'macro', NULL, NULL, NULL, NULL, NULL, round(avg(f1), 4) FROM k WHERE label <> 'detection'""")
-def asset_matching_v2(s, d) -> DataFrame:
+def asset_matching_mutual(s, d) -> DataFrame:
     t, f, p = sides(s, d)
     return ev.matched_scores(t, f, p).select("label", "tp", "fp", "fn", r("precision"), r("recall"), r("f1"))
 
