@@ -55,23 +55,21 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     (array of struct<start, end>). Turns are ordered by (turn, speaker, text), nulls
     first; repeated rows stay. A null role speaks as ``unknown``, a null text is empty,
     null conversation ids form one dialogue. Dialogues with only system turns have no rendering.
-    Scale: a dialogue of any length is rendered in parts of at most ``part_turns`` rows. Parts are the blocks of
-    ``part_turns`` turn numbers (null numbers are part -1); a dialogue with more rows than that in any block, because numbers repeat
-    or are null, is cut by the count of its rows instead, parts numbered from 0 (see ``parts_by_count``).
+    Scale: a dialogue of any length is rendered in parts of ``part_turns`` rows in that order, numbered from 0, whatever its turn numbers
+    are; those of longer ones are cut without gathering them (see ``parts_by_count``).
     """
     said = turns.select(
         F.col(conv_col).alias("conv_id"),
-        F.coalesce(F.floor(F.col(turn_col) / part_turns), F.lit(-1)).cast("long").alias("part"),
         F.col(turn_col).alias("turn"), speaker(F.col(role_col)).alias("who"),
         F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|"), F.lit("< |")).alias("what"))
     people = (said.filter(F.col("who") != system).select("conv_id", "who").distinct()
               .select(F.col("conv_id").alias("c"), F.col("who").alias("perspective")))
-    rows = said.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
-    large = cut(rows.filter(F.col("n") > part_turns).select(F.col("conv_id").alias("long_id")).distinct())
+    rows = said.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    large = cut(rows.filter(F.col("n") > part_turns).select(F.col("conv_id").alias("long_id")))
     any_large = large.limit(1).count() > 0
     is_large = lambda c: F.col(c).eqNullSafe(F.col("long_id"))
     short = said.join(large, is_large("conv_id"), "left_anti") if any_large else said
-    parts = short.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "who", "what"))).alias("m"))
+    parts = short.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "who", "what"))).alias("m")).withColumn("part", F.lit(0).cast("long"))
     pairs = parts.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).select("conv_id", "part", "m", "perspective")
     if any_large:  # the parts of a long dialogue meet its people in many tasks
         cuts = parts_by_count(said.join(large, is_large("conv_id"), "left_semi"), part_turns).withColumn("salt", F.pmod("part", F.lit(SPREAD)))

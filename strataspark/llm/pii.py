@@ -20,14 +20,14 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# High-recall generators of further candidates; they overlap each other and the base spans.
+# High-recall generators of further candidates; they overlap each other and the base spans. Runs are taken whole, whatever their length; the trees judge it.
 WIDE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]{2,63}){1,4}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++(?:(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]{2,}+)++",
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9A-Za-z.])[0-9]{4}(?:[._/\x20-]{1,2}[0-9]{4}){2}[._/\x20-]{1,2}[0-9]{1,7}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z.+])\(?[0-9]{2,4}\)?(?:[\x20./-]{1,2}[0-9]{2,6}){1,4}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z.+])\(?[0-9]{2,4}\)?(?:[\x20./-]{1,2}[0-9]{2,6}+(?![0-9A-Za-z]))++",
 }
-WIDE["secret"] = r"(?<![0-9A-Za-z_])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)\x20?[:=]\x20?[\x22']?[A-Za-z0-9+/_-]{8,128}+"
+WIDE["secret"] = r"(?<![0-9A-Za-z_])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)\x20?[:=]\x20?[\x22']?[A-Za-z0-9+/_-]{8,}+"
 GATE = {"secret": r"(?i)(?:token|secret|passw|key|auth)[^\n]{0,8}[:=]",
         "email": r"[\[(]at[\])]|\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20|\x20?[\[(]dot|\.[A-Za-z0-9])", "ip": ":[0-9A-Fa-f]{1,4}:", "card": "[0-9]", "phone": "[0-9]"}
 CUES = {

@@ -149,9 +149,10 @@ SELECT l.doc_id, CASE WHEN l.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
        (coalesce(len(l.l), 0) - coalesce(k.n, 0))::BIGINT AS n_removed
 FROM l LEFT JOIN kept k ON k.doc_id = l.doc_id""",
     "op9_chat_rotation": r"""
-WITH t AS (SELECT conv_id, coalesce(floor(turn / 512.0), -1)::BIGINT AS part, turn,
+WITH u AS (SELECT conv_id, turn,
              CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE regexp_replace(role, '[^A-Za-z0-9_-]', '_', 'g') END AS who,
              replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' AS body FROM conversations),
+t AS (SELECT *, ((row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who, body) - 1) // 512)::BIGINT AS part FROM u),
 v AS (SELECT DISTINCT conv_id, who AS perspective FROM t WHERE who <> 'system'),
 m AS (SELECT t.conv_id, v.perspective, part, turn, who, body, who = perspective AS own,
         '<|im_start|>' || CASE WHEN who = perspective THEN 'assistant' WHEN who = 'system' THEN 'system' ELSE 'user name=' || who END || chr(10) AS head

@@ -51,7 +51,7 @@ def test_pages_vectors_and_dialogues(spark):
     v = clashing(spark.createDataFrame(vec, "vec_id long, embedding array<double>"))
     assert [(r.query_id, r.vec_id) for r in mih.nearest(v, v.filter("vec_id = 0").select("vec_id")).sort("rank").collect()] == [(0, 1), (0, 5), (0, 6)]
     talk = [(1, 1, "a", "x"), (1, 1, "a", "x"), (1, 1, "b", None), (None, None, None, None), (2, 5, "", "y" * 300_000), (3, 1, "system", "only")]
-    got = chat_rotation.rotate_perspectives(clashing(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).drop("part")).collect()
+    got = chat_rotation.rotate_perspectives(clashing(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string"))).collect()
     assert sorted((str(r.conv_id), r.perspective, r.n_turns) for r in got) == [("1", "a", 3), ("1", "b", 3), ("2", "unknown", 1), ("None", "unknown", 1)]
 
 

@@ -334,6 +334,15 @@ since 1914 - 1918 the price rose
 """
 
 
+def test_pii_runs_of_any_length_are_whole(spark):
+    key = "aB3dE5fG7hJ9" * 25
+    lines = [f"config token={key} leaked", "contact " + "x" * 90 + " [at] mail [dot] net now", "numbers " + "12 34 56 " * 20_000 + "end"]
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_pii(docs(spark, list(enumerate(lines))))).collect()}
+    assert got[0] == f"secret:7:{13 + len(key)}"
+    assert got[1] in ("", f"email:8:{len(lines[1]) - 4}")  # whole or not at all
+    assert 2 in got  # a long list of numbers is one candidate, found without recursion
+
+
 def test_pii_added_spans_on_labelled_lines(spark):
     rows, want = [], {}
     for i, line in enumerate(x for x in LABELLED.strip().split("\n")):
@@ -487,6 +496,16 @@ def test_chat(spark):
     assert [b.text[m.start:m.end] for m in b.mask] == ["yo < |x<|im_end|>"]
 
 
+def test_a_long_dialogue_with_repeated_turn_numbers(spark):
+    rows = [(1, t % 7 if t % 5 else None, "ab"[t % 2], f"{t:04d}") for t in range(600)]
+    got = chat_rotation.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    own = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    for who in "ab":
+        parts = sorted((r for r in got if r.perspective == who), key=lambda r: r.part)
+        assert [(p.part, p.n_turns) for p in parts] == [(0, 512), (1, 88)]
+        assert "".join(p.text for p in parts) == "".join(f"<|im_start|>{'assistant' if r[2] == who else 'user name=' + r[2]}\n{r[3]}<|im_end|>\n" for r in own)
+
+
 def test_chat_parts_are_bounded_by_rows(spark):
     rng = random.Random(4)
     rows = [(None, turn, rng.choice("ab"), f"{d} {turn}") for d in range(5) for turn in range(3)]  # dialogues without id, numbers begin again
@@ -500,7 +519,7 @@ def test_chat_parts_are_bounded_by_rows(spark):
         parts = sorted((r for r in got if (r.conv_id, r.perspective) == (conv, who)), key=lambda r: r.part)
         said = [f"<|im_start|>{'assistant' if r[2] == who else 'user name=' + r[2]}\n{r[3]}<|im_end|>\n" for r in own]
         assert "".join(r.text for r in parts) == "".join(said) and sum(r.n_turns for r in parts) == len(own)
-        assert [r.part for r in parts] == ([0, 1] if conv == 8 else [-1] if conv == 9 else list(range(-(-len(own) // 4))))
+        assert [r.part for r in parts] == list(range(-(-len(own) // 4)))
         assert [p.text[m.start:m.end] for p in parts for m in p.mask] == [f"{r[3]}<|im_end|>" for r in own if r[2] == who]
 
 
