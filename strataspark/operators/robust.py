@@ -59,7 +59,7 @@ def line_traces(points: DataFrame, key: str, limits: TraceLimits = TraceLimits()
         off = F.abs(c("z") - c("slope") * c("u") - c("intercept"))
         votes = left.join(lines, key).filter(off <= limits.tolerance).groupBy(key, "h", "slope", "intercept").agg(
             F.count(F.lit(1)).alias("n"), F.percentile("u", F.array(F.lit(0.05), F.lit(0.95))).alias("q"), F.size(F.collect_set(F.floor(c("u") / limits.bin))).alias("bins"))
-        span = c("q")[1] - c("q")[0]
+        span = F.round(c("q")[1] - c("q")[0], 9)
         cover = c("bins") / F.greatest(F.lit(1), F.ceil(span / limits.bin) + 1)
         fair = votes.filter((c("n") >= limits.least_points) & (span >= limits.least_span)).withColumn("score", F.round(span * cover * F.sqrt("n"), 9))
         best = cut(fair.groupBy(key).agg(F.min_by(F.struct("slope", "intercept", "q", cover.alias("coverage")), F.struct(-c("score"), c("h"))).alias("b")).select(key, "b.*"))

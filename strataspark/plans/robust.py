@@ -24,8 +24,8 @@ e{n} AS (SELECT k, h, min_by(u, mark) AS ua, min_by(z, mark) AS za, max_by(u, ma
 h{n} AS MATERIALIZED (SELECT *, za - slope * ua AS intercept FROM (SELECT k, h, ua, za, (zb - za) / (ub - ua) AS slope FROM e{n} WHERE abs(ub - ua) >= {t.least_apart}) WHERE abs(slope) <= {t.steepest}),
 v{n} AS (SELECT h.k, h.h, any_value(h.slope) AS slope, any_value(h.intercept) AS intercept, count(*) AS n, quantile_cont(l.u, 0.05) AS u05, quantile_cont(l.u, 0.95) AS u95, count(DISTINCT floor(l.u / {t.bin})) AS bins
   FROM l{n} l JOIN h{n} h ON h.k = l.k AND {off.format(a='h')} <= {t.tolerance} GROUP BY h.k, h.h),
-s{n} AS (SELECT *, bins / greatest(1, ceil((u95 - u05) / {t.bin}) + 1) AS coverage FROM v{n} WHERE n >= {t.least_points} AND u95 - u05 >= {t.least_span}),
-b{n} AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round((u95 - u05) * coverage * sqrt(n), 9) DESC, h) AS i FROM s{n}) WHERE i = 1),
+s{n} AS (SELECT *, bins / greatest(1, ceil(round(u95 - u05, 9) / {t.bin}) + 1) AS coverage FROM v{n} WHERE n >= {t.least_points} AND round(u95 - u05, 9) >= {t.least_span}),
+b{n} AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(round(u95 - u05, 9) * coverage * sqrt(n), 9) DESC, h) AS i FROM s{n}) WHERE i = 1),
 f{n} AS MATERIALIZED (SELECT b.k, {n} AS trace, count(*) AS n, any_value(b.u05) AS u05, any_value(b.u95) AS u95, any_value(b.coverage) AS coverage, regr_slope(l.z, l.u) AS slope, regr_intercept(l.z, l.u) AS intercept,
   sqrt(greatest(regr_syy(l.z, l.u) - regr_slope(l.z, l.u) ** 2 * regr_sxx(l.z, l.u), 0) / count(*)) AS rmse FROM l{n} l JOIN b{n} b ON b.k = l.k AND {off.format(a='b')} <= {t.tolerance} GROUP BY b.k),
 l{n + 1} AS MATERIALIZED (SELECT l.* FROM l{n} l JOIN f{n} f ON f.k = l.k AND {off.format(a='f')} > {t.removed})""")
