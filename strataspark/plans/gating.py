@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import freeze
 from ..operators import gating as gt
 from ..operators import tracks as tr
 from ..sources.tables import load, points
@@ -222,3 +223,13 @@ def defect_detection(s, d) -> DataFrame:
     hit = F.when(c("expected") == "none", c("failed").isNull()).otherwise(F.coalesce(F.array_contains("failed", c("expected")), F.lit(False)))
     return rows.select(c("project").alias("fault"), "expected", hit.alias("detected"))
 
+
+@query("""WITH a AS (SELECT o_custkey AS release, 'A' || o_orderkey AS id, NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') AS ok FROM orders),
+g AS (SELECT c_custkey AS release, count(id) AS n_assets, count(*) FILTER (NOT ok) AS n_blocking, coalesce(array_to_string(list_sort(list(id) FILTER (NOT ok))[1:20], ','), '') AS blocking, string_agg(id, chr(10) ORDER BY id) AS ids FROM customer LEFT JOIN a ON release = c_custkey GROUP BY 1)
+SELECT release, CASE WHEN n_assets = 0 THEN 'empty' WHEN n_blocking > 0 THEN 'blocked' ELSE 'frozen' END AS state, n_assets, n_blocking, blocking, CASE WHEN n_assets > 0 AND n_blocking = 0 THEN sha256(ids) END AS asset_set_sha256 FROM g""")
+def registry_freeze(s, d) -> DataFrame:
+    """A customer's orders as the assets of a release; urgent ones that are pending block it."""
+    c = F.col
+    status = F.when((c("o_orderstatus") == "P") & (c("o_orderpriority") == "1-URGENT"), "candidate").otherwise("accepted")
+    assets = load(s, d, "orders").select(c("o_custkey").alias("release"), F.concat(F.lit("A"), "o_orderkey").alias("id"), status.alias("status"))
+    return freeze.freeze_releases(load(s, d, "customer").select(c("c_custkey").alias("release")), assets)
