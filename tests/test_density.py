@@ -5,7 +5,7 @@ import math
 import random
 
 import numpy as np
-from strataspark.operators import density
+from strataspark.operators import density, graphs
 
 
 def by_hand(points, radius, least):
@@ -84,3 +84,28 @@ def test_planes(spark):
     assert 9001 in ids and 9000 not in ids and 9002 not in ids and len(ids) == 461 - got[0].n - got[1].n
     none, kept = density.plane_segments(df.filter("id < 0"), "key", limits)
     assert none.count() == kept.count() == 0
+
+
+def test_running_median():
+    r, held, m = random.Random(8), [], graphs.RunningMedian()
+    for _ in range(500):
+        held.append(r.choice([r.uniform(-5, 5), float(r.randint(-2, 2))]))
+        m.push(held[-1])
+        assert abs(m.value() - float(np.median(held))) < 1e-12
+
+
+def test_lanes_by_medians(spark):
+    r = random.Random(9)
+    rows = [(k, i, i, r.choice([0.0, 10.0, 25.0]) + r.uniform(-2, 2)) for k in range(4) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, step long, id long, at double")
+    got = {(q.k, q.id): q.lane for q in graphs.lanes(df, "k", "step", "at", 4.0).collect()}
+    for k in range(4):
+        held = []
+        for _, i, _, v in (q for q in rows if q[0] == k):
+            apart = [abs(float(np.median(x)) - v) for x in held]
+            best = int(np.argmin(apart)) if apart else -1
+            if best < 0 or apart[best] > 4.0:
+                held.append([])
+                best = len(held) - 1
+            held[best].append(v)
+            assert got[k, i] == best
