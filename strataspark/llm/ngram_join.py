@@ -78,9 +78,9 @@ def combine(key: np.ndarray, node: np.ndarray) -> pd.DataFrame:
 
 
 def shared_token_links(postings: DataFrame) -> DataFrame:
-    """(a, b) links that connect all nodes of each key: neighbours in the key's sorted rows. Rows were combined in
-    each task before, so a key that a third of all documents hold has one row per task."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(a, b) links that connect all nodes of each key: neighbours in the key's sorted rows, contracted in each task. Rows were
+    combined in each task before, so a key that a third of all documents hold has one row per task."""
+    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = None
         for pdf in batches:
             edge, key, node = pdf["edge"].to_numpy(), pdf["key"].to_numpy(), pdf["node"].to_numpy()
@@ -94,6 +94,9 @@ def shared_token_links(postings: DataFrame) -> DataFrame:
                 last = key[-1], node[-1]
             yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return local_forest(neighbours(batches))
+
     return postings.repartition("key").sortWithinPartitions("edge", "key", "node").mapInPandas(run, "a long, b long")
 
 
@@ -247,7 +250,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     some = feats.filter("n > 0 and id is not null")
     classes = some.groupBy("f1", "f2", "n").agg(F.min(F.struct("id", "th")).alias("r")).select("f1", "f2", "n", F.col("r.id").alias("rep"), F.col("r.th").alias("th"))
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t")).filter("rep is not null")
-    groups = components(shared_token_links(key_postings(feats))).filter("id is not null")
+    groups = components(shared_token_links(key_postings(feats)), contracted=True).filter("id is not null")
     members = classes.join(groups.select(F.col("id").alias("f1"), F.col("component").alias("grp")), "f1").select(F.col("f1").alias("node"), "grp", "n", "rep", "th")
     links = group_links(members, texts, shingle, num, den)
     # rows of one id with different texts are one document: their classes are linked

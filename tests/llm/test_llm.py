@@ -166,6 +166,23 @@ def test_jaccard_edge_cases(spark):
     assert [(r.id, r.component_id) for r in got].count((3, 3)) == 2 and (None, None) in [(r.id, r.component_id) for r in got]
 
 
+def test_jaccard_runs_one_python_function_in_a_task(spark, monkeypatch):
+    """A task that runs one function over another's rows holds two Python workers, and the memory of both."""
+    from strataspark.operators import lineage, spatial
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return lineage.cut(df)
+
+    monkeypatch.setattr(spatial, "cut", watched)
+    monkeypatch.setattr(ngram_join, "cut", watched)
+    rows = [(i, prose(i % 9, 120)) for i in range(30)]
+    assert ngram_join.jaccard_components(docs(spark, rows)).count() == 30
+    parts = [part.count("MapInPandas") + part.count("MapInArrow") for plan in plans for part in plan.split("Exchange")]
+    assert max(parts) == 1
+
+
 @pytest.mark.parametrize("order", [(0, 1, 2), (1, 0, 2), (2, 1, 0)])
 def test_jaccard_with_two_texts_under_one_id(spark, order):
     a, b = prose(1, 60), prose(2, 60)
