@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -62,6 +63,42 @@ def test_agrees_with_the_library_on_every_code_point(vocabulary):
         assert np.frombuffer(encoder.encode(text), np.int32).tolist() == library.encode_ordinary(text), hex(c)
 
 
+def walks(encoder):
+    """Counts the pieces that are walked one by one."""
+    one, calls = encoder.piece, []
+    encoder.piece = lambda data: calls.append(data) or one(data)
+    return calls
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
+@pytest.mark.parametrize("kind", ["SpacedEncoder", "Encoder"])
+def test_new_pieces_are_encoded_together(name, kind):
+    v = bpe.load_vocabulary(public_tokenizers.path(name), public_tokenizers.PATTERN)
+    encoder = getattr(bpe, kind)(v)
+    r = random.Random(7)
+    words = ["".join(r.choice("abeinorstéß") for _ in range(r.randint(1, 14))) + r.choice(["", "", ".", "'s", ",\n", "7"]) for _ in range(1500)]
+    texts = [" ".join(words[i:i + 50]) for i in range(0, len(words), 50)]
+    calls = walks(encoder)
+    assert encoder.encode_all(pa.array(texts)).to_pylist() == [plain(v, t) for t in texts]
+    assert len(calls) <= len(texts)  # first words at most
+    for some in (odd_texts()[1:], ["a  b", "c \u3000d", " ", "", "e \x1cf", "x "] * 20, [""], []):
+        assert encoder.encode_all(pa.array(some, pa.string())).to_pylist() == [plain(v, t) for t in some]
+
+
+def test_dead_ends_and_whole_tokens_together(tmp_path):
+    import base64
+    tokens = [bytes([b]) for b in range(256)] + [b"ab", b"ba", b"abab", b"aba", b"bb", b"abb", b"babab", b"bbbbb"]
+    path = tmp_path / "small.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for r, t in enumerate(tokens)))
+    v = bpe.load_vocabulary(str(path), r"\S+|\s+")
+    assert 263 not in v.halves  # never made by merging
+    encoder = bpe.Encoder(v)
+    r = random.Random(5)
+    pieces = ["".join(r.choice("ab") for _ in range(r.randint(1, 40))) for _ in range(3000)] + ["bbbbb", "é"]
+    calls = walks(encoder)
+    assert [np.frombuffer(x, np.int32).tolist() for x in encoder.together(pieces)] == [plain(v, p) for p in pieces] and not calls
+
+
 def test_a_small_vocabulary_with_many_dead_ends():
     ranks = {bytes([b]): b for b in range(256)} | {t: 256 + i for i, t in enumerate([b"ab", b"ba", b"abab", b"aba", b"bb", b"abb", b"babab"])}
     halves = {}
@@ -119,3 +156,14 @@ def test_query_digests(spark, vocabulary):
         if ids is not None:
             assert (r.n_tokens, r.ids_sha256) == (len(ids), digest(" ".join(map(str, ids)).encode()))
         assert r.decoded_sha256 == digest((docs[r.doc_id] or "").encode())
+
+
+def test_encodes_and_decodes_in_one_worker(spark, vocabulary):
+    plan = queries.op11_bpe_codec(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(odd_texts())], "doc_id long, text string")
+    for spaced in (True, False):
+        one = bpe.encode(rows, vocabulary, spaced=spaced, decoded=True)
+        two = bpe.decode(bpe.encode(rows, vocabulary, spaced=spaced), vocabulary)
+        assert sorted(one.collect()) == sorted(two.collect())
+        assert {r.doc_id: bytes(r.decoded).decode() for r in one.collect()} == {i: t or "" for i, t in enumerate(odd_texts())}
