@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import freeze
@@ -164,11 +164,21 @@ def lineage_lock(s, d) -> DataFrame:
     return gt.locked(a, b, "k", "h").groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
+def own(key: str) -> Column:
+    """The key of a part as an asset."""
+    return F.struct(F.lit(False).alias("made"), F.col(key).alias("id")).alias("asset")
+
+
+def made(key: str) -> Column:
+    """The key of an asset made from a part: its number may be that of a part, so made assets are told apart from those."""
+    return F.struct(F.lit(True).alias("made"), (F.col(key) + 1000000).alias("id")).alias("asset")
+
+
 @query("SELECT CASE WHEN p_partkey % 4 = 0 THEN p_partkey ELSE p_partkey END AS p_partkey, CASE WHEN p_partkey % 4 = 0 THEN p_size + 1 ELSE p_size END AS p_size FROM part UNION ALL SELECT p_partkey + 1000000, p_size FROM part WHERE p_partkey % 6 = 0")
 def registry_import(s, d) -> DataFrame:
-    base = load(s, d, "part").select("p_partkey", "p_size")
-    new = base.filter("p_partkey % 4 = 0").withColumn("p_size", F.col("p_size") + 1).union(base.filter("p_partkey % 6 = 0").withColumn("p_partkey", F.col("p_partkey") + 1000000))
-    return gt.import_records(base, new, "p_partkey", True)
+    base = load(s, d, "part").select(own("p_partkey"), "p_size")
+    new = base.filter("asset.id % 4 = 0").withColumn("p_size", F.col("p_size") + 1).union(base.filter("asset.id % 6 = 0").withColumn("asset", made("asset.id")))
+    return gt.import_records(base, new, "asset", True).select(F.col("asset.id").alias("p_partkey"), "p_size")
 
 
 @query("""SELECT p_partkey, CASE WHEN u THEN 'reviewed' ELSE 'candidate' END AS state, CASE WHEN u THEN p_size || ';' || (p_size + 1) || ';' || p_brand ELSE p_size || ';old;' END AS parameters, CASE WHEN u THEN 'a,b' || CASE WHEN p_size % 2 = 0 THEN '' ELSE ',c' END ELSE 'a,b' END AS limits,
