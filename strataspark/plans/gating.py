@@ -187,15 +187,15 @@ def additive_patch(s, d) -> DataFrame:
     c, text = F.col, lambda x: x.cast("string")
     p = load(s, d, "part")
     lits = lambda *x: F.array(*[F.lit(v) for v in x])
-    base = p.select("p_partkey", F.lit("candidate").alias("state"), F.create_map(F.lit("size"), text(c("p_size")), F.lit("next"), F.lit("old")).alias("parameters"), lits("a", "b").alias("limits"))
-    updates = p.filter("p_partkey % 3 = 0").select("p_partkey", F.lit("reviewed").alias("state"), F.create_map(F.lit("next"), text(c("p_size") + 1), F.lit("brand"), c("p_brand")).alias("parameters"),
+    base = p.select(own("p_partkey"), F.lit("candidate").alias("state"), F.create_map(F.lit("size"), text(c("p_size")), F.lit("next"), F.lit("old")).alias("parameters"), lits("a", "b").alias("limits"))
+    updates = p.filter("p_partkey % 3 = 0").select(own("p_partkey"), F.lit("reviewed").alias("state"), F.create_map(F.lit("next"), text(c("p_size") + 1), F.lit("brand"), c("p_brand")).alias("parameters"),
                                                    F.when(c("p_size") % 2 == 0, lits("b")).otherwise(lits("b", "c")).alias("limits"))
     none = F.array().cast("array<string>").alias("limits")
-    fresh = p.filter("p_partkey % 10 = 0").select((c("p_partkey") + 1000000).alias("p_partkey"), F.lit("new").alias("state"), F.create_map(F.lit("size"), text(c("p_size"))).alias("parameters"), none)
-    same = base.filter("p_partkey % 50 = 1")  # added again: no change
-    out = gt.additive_patch(base, updates, fresh.unionByName(same), "p_partkey", ["state"])
+    fresh = p.filter("p_partkey % 10 = 0").select(made("p_partkey"), F.lit("new").alias("state"), F.create_map(F.lit("size"), text(c("p_size"))).alias("parameters"), none)
+    same = base.filter("asset.id % 50 = 1")  # added again: no change
+    out = gt.additive_patch(base, updates, fresh.unionByName(same), "asset", ["state"])
     show = F.concat_ws(";", *[F.coalesce(c("parameters")[k], F.lit("")) for k in ("size", "next", "brand")])
-    return out.select("p_partkey", "state", show.alias("parameters"), F.array_join("limits", ",").alias("limits"), "change")
+    return out.select(c("asset.id").alias("p_partkey"), "state", show.alias("parameters"), F.array_join("limits", ",").alias("limits"), "change")
 
 
 @query("SELECT p_brand, count(*) AS gaps, count(d.k) AS closed, count(*) - count(d.k) AS open, round(count(d.k) / count(*), 4) AS share FROM part LEFT JOIN (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity > 45 AND l_tax < 0.02) d ON d.k = p_partkey GROUP BY 1")

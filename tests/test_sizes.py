@@ -30,3 +30,7 @@ def equals_sql(spark, folder, name):
 
 def test_registry_import_of_made_ids_that_parts_have(spark, folder):
     equals_sql(spark, folder, "registry_import")
+
+
+def test_additive_patch_of_made_ids_that_parts_have(spark, folder):
+    equals_sql(spark, folder, "additive_patch")
