@@ -24,7 +24,7 @@ SELECT block, ceil(max(s) / 1000000)::BIGINT AS n_pairs, round(ceil(max(s) / 100
 
 
 def totals(left: DataFrame, right: DataFrame, most: float) -> DataFrame:
-    pairs = matching.assign(matching.near_links(left, right, most))
+    pairs = matching.assign_on_line(left, right, most)
     return matching.block_totals(left, pairs).select("block", "n_pairs", r("total"))
 
 
