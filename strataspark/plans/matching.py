@@ -38,7 +38,7 @@ def asset_assignment(s, d) -> DataFrame:
 def asset_matching_v2(s, d) -> DataFrame:
     """Detection and types after the optimal assignment of findings to truth."""
     t, f, _ = sides(s, d)
-    pairs = matching.assign(matching.near_links(t, f, 400.0)).select(F.col("left").alias("truth_id"), F.col("right").alias("found_id"))
+    pairs = matching.assign_on_line(t, f, 400.0).select(F.col("left").alias("truth_id"), F.col("right").alias("found_id"))
     return ev.matched_scores(t, f, pairs).select("label", "tp", "fp", "fn", r("precision"), r("recall"), r("f1"))
 
 
