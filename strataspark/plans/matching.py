@@ -72,7 +72,7 @@ def seam_pair_assignment(s, d) -> DataFrame:
 def boundary_warp(s, d) -> DataFrame:
     """Line items of even parts as lines that run up to a seam with the odd parts of their type: paired ends meet halfway, by a smoothstep over the last 20 quantities and at most by 4."""
     left, right = parts(s, d, 0), parts(s, d, 1)
-    pairs = matching.assign(matching.near_links(left, right, 15.0))
+    pairs = matching.assign_on_line(left, right, 15.0)
     ends = pairs.join(left.select(F.col("id").alias("left"), F.col("center").alias("end_cross")), "left").join(right.select(F.col("id").alias("right"), F.col("center").alias("other_cross")), "right")
     items = load(s, d, "lineitem").filter("l_partkey % 2 = 0").select(F.col("l_partkey").alias("line"), (F.col("l_quantity") - 50).alias("station"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("cross"))
     warped = matching.seam_warp(items, ends.withColumnRenamed("left", "line"), 20.0, 4.0)
