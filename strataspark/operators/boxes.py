@@ -24,6 +24,14 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float) -> DataFra
     return placed.join(spread, ["__c0", "__c1"]).filter(held).drop("__c0", "__c1")
 
 
+SHAPE = ["x0", "x1", "y0", "y1", "z0", "z1"]
+
+
+def alike(df: DataFrame, key: str, *values: str) -> DataFrame:
+    """Rows that are equal in ``values`` once, under the smallest ``key`` among them: they meet the same others, so a join need see them only once, and what it finds goes back by an equi-join on the values."""
+    return df.groupBy(*values).agg(F.min(key).alias(key))
+
+
 def _renamed(df: DataFrame, prefix: str, names: list[str]) -> DataFrame:
     return df.select(*[F.col(n).alias(prefix + n) for n in names])
 
