@@ -109,10 +109,10 @@ def longest_false(bins: DataFrame, key: list[str], at: str, flag: str) -> DataFr
     return out.select(*key, "bins", (c("held") / c("bins")).alias("share"), "longest", F.when(c("held") < 2, c("bins")).otherwise(c("inner")).alias("inner"))
 
 
-def occupancy(df: DataFrame, key: list[str], value: str, size: float) -> DataFrame:
-    """(keys, n, low, high, bins, filled, ratio, longest_gap): occupied bins of a value between the first and last, and the longest run of empty ones."""
+def occupancy(df: DataFrame, key: list[str], value: str, size: float, times: str | None = None) -> DataFrame:
+    """(keys, n, low, high, bins, filled, ratio, longest_gap): occupied bins of a value between the first and last, and the longest run of empty ones. A row counts as often as its column ``times`` says, or once."""
     c = F.col
-    b = df.groupBy(*key, cell(c(value), size).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+    b = df.groupBy(*key, cell(c(value), size).alias("b")).agg((F.sum(times) if times else F.count(F.lit(1))).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
     b = b.withColumn("__s", c("b") - F.lag("b").over(Window.partitionBy(*key).orderBy("b")) - 1)
     out = b.groupBy(*key).agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), (F.max("b") - F.min("b") + 1).alias("bins"), F.count(F.lit(1)).alias("filled"),
                               F.coalesce(F.max("__s"), F.lit(0)).alias("longest_gap"))
