@@ -73,11 +73,12 @@ def column_grid(seeds: DataFrame, key: str, at: str, nominal: float, low: float,
     numbers the seeds from the one nearest to their median; a least-squares line through the numbers is the grid. Keys without a
     plausible spacing have none."""
     c, w = F.col, Window.partitionBy(key)
-    s = seeds.select(key, c(at).cast("double").alias("s")).withColumn("__c", F.floor(c("s") / (4 * nominal)))
-    near = s.select(key, c("s").alias("t"), F.explode(F.array(c("__c"), c("__c") + 1)).alias("__c"))
+    s = seeds.select(key, c(at).cast("double").alias("s"))
+    once = s.groupBy(key, "s").agg(F.count(F.lit(1)).alias("m")).withColumn("__c", F.floor(c("s") / (4 * nominal)))  # seeds of one place make the same pairs
+    near = once.select(key, c("s").alias("t"), c("m").alias("l"), F.explode(F.array(c("__c"), c("__c") + 1)).alias("__c"))
     step = F.abs(c("t") - c("s"))
-    pairs = near.join(s, [key, "__c"]).filter((step > 0) & (step <= 4 * nominal)).withColumn("d", step / F.greatest(F.lit(1), F.rint(step / nominal)))
-    first = pairs.filter(c("d").between(low, high)).groupBy(key).agg(median("d").alias("d"))
+    pairs = near.join(once, [key, "__c"]).filter((step > 0) & (step <= 4 * nominal)).withColumn("d", step / F.greatest(F.lit(1), F.rint(step / nominal)))
+    first = pairs.filter(c("d").between(low, high)).groupBy(key).agg(F.expr("percentile(d, 0.5D, l * m)").alias("d"))
     j = s.join(first, key).withColumn("m", F.expr("percentile(s, 0.5)").over(w))
     anchor = F.first("s").over(w.orderBy(F.abs(c("s") - c("m")), "s").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     j = j.withColumn("k", F.rint((c("s") - anchor) / c("d")))
