@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import cell
 from ..functions.scores import clamp
 from . import intervals
-from .boxes import best, box_pairs, span_pairs
+from .boxes import alike, best, box_pairs, span_pairs
 
 
 def eligible_columns(points: DataFrame, size: float, least: int, span: float, layer: float, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -192,13 +192,15 @@ def linear_matches(gaps: DataFrame, roofs: DataFrame, size: float, edge: float,
     """(id, roof_id, priority): gaps (span_id, start, stop, c, z) with the roof (span_id, start, stop, c0, c1, z) that they overlap by at least the smaller of 5 and half of their length, near its edge and
     height; the nearest by (edge, height); matched ones are demoted to P2."""
     c = F.col
-    j = span_pairs(gaps.select("span_id", "start", "stop"), roofs.select("span_id", "start", "stop"), size)
-    j = j.join(gaps.select(c("span_id").alias("a_span_id"), c("c").alias("gc"), c("z").alias("gz")), "a_span_id").join(roofs.select(c("span_id").alias("b_span_id"), "c0", "c1", c("z").alias("rz")), "b_span_id")
+    shape = ["start", "stop", "c", "z"]
+    once, tops = alike(gaps, "span_id", *shape), alike(roofs, "span_id", "start", "stop", "c0", "c1", "z")
+    j = span_pairs(once.select("span_id", "start", "stop"), tops.select("span_id", "start", "stop"), size)
+    j = j.join(once.select(c("span_id").alias("a_span_id"), c("c").alias("gc"), c("z").alias("gz")), "a_span_id").join(tops.select(c("span_id").alias("b_span_id"), "c0", "c1", c("z").alias("rz")), "b_span_id")
     j = j.withColumn("e", F.least(F.abs(c("gc") - c("c0")), F.abs(c("gc") - c("c1")))).withColumn("h", F.abs(c("gz") - c("rz")))
     enough = c("overlap") >= F.least(F.lit(5.0), (c("a_stop") - c("a_start")) / 2)
     near = best(j.filter(enough & (c("e") <= edge) & (c("h") <= height)), "a_span_id", [c("e"), c("h"), c("b_span_id")])
-    found = near.select(c("a_span_id").alias("id"), c("b_span_id").alias("roof_id"))
-    return gaps.select(c("span_id").alias("id")).join(found, "id", "left").select("id", "roof_id", F.when(c("roof_id").isNull(), "P1").otherwise("P2").alias("priority"))
+    found = once.join(near.select(c("a_span_id").alias("span_id"), c("b_span_id").alias("roof_id")), "span_id").select(*shape, "roof_id")
+    return gaps.select(c("span_id").alias("id"), *shape).join(found, shape, "left").select("id", "roof_id", F.when(c("roof_id").isNull(), "P1").otherwise("P2").alias("priority"))
 
 
 def cover(candidates: DataFrame, examples: DataFrame, limits: dict[str, float]) -> DataFrame:
