@@ -78,11 +78,13 @@ def signed_clearance(a: DataFrame, b: DataFrame, key: str, size: float, reach: f
     """(key, id, nearest, clearance, passed): the signed gap of each interval (key, id, low, high) to the others of its key within ``reach``: the distance, or where they overlap the negative
     of how far one reaches into the other; the least counts and passes if it is not negative. An interval with none in reach passes."""
     c = F.col
-    wide = a.select(key, c("id").alias("span_id"), (c("low") - reach).alias("start"), (c("high") + reach).alias("stop"))
-    j = span_pairs(wide, b.select(key, c("id").alias("span_id"), c("low").alias("start"), c("high").alias("stop")), size, (key,))
+    span = [key, "low", "high"]
+    once = alike(a, "id", *span)
+    wide = once.select(key, c("id").alias("span_id"), (c("low") - reach).alias("start"), (c("high") + reach).alias("stop"))
+    j = span_pairs(wide, alike(b, "id", *span).select(key, c("id").alias("span_id"), c("low").alias("start"), c("high").alias("stop")), size, (key,))
     gap = F.greatest(c("a_start") + reach - c("b_stop"), c("b_start") - (c("a_stop") - reach))
     g = j.groupBy(c(f"a_{key}").alias(key), c("a_span_id").alias("id")).agg(F.min(F.struct(gap.alias("g"), c("b_span_id").alias("o"))).alias("m"))
-    out = a.select(key, "id").join(g, [key, "id"], "left")
+    out = a.select("id", *span).join(once.join(g, [key, "id"]).select(*span, "m"), span, "left")
     return out.select(key, "id", c("m.o").alias("nearest"), c("m.g").alias("clearance"), F.coalesce(c("m.g") >= 0, F.lit(True)).alias("passed"))
 
 
