@@ -135,10 +135,11 @@ def profile_runs(df: DataFrame, key: str, at: str, across: str, height: str, gap
 def same_station(rows: DataFrame, templates: DataFrame, key: str, at: str, most: float) -> DataFrame:
     """(key, id, template): for each row the template of its key nearest along, within ``most`` (ties to the smaller id)."""
     c = F.col
-    left = rows.select(key, "id", c(at).alias("u")).withColumn("__c", F.explode(F.sequence(cell(c("u"), most) - 1, cell(c("u"), most) + 1)))
-    j = left.join(templates.select(key, c("id").alias("template"), c(at).alias("v"), cell(c(at), most).alias("__c")), [key, "__c"]).withColumn("d", F.abs(c("u") - c("v"))).filter(c("d") <= most)
-    near = j.withColumn("rn", F.row_number().over(Window.partitionBy(key, "id").orderBy("d", "template"))).filter("rn = 1").select(key, "id", "template")
-    return rows.select(key, "id").join(near, [key, "id"], "left")
+    left = rows.select(key, c(at).alias("u")).distinct().withColumn("__c", F.explode(F.sequence(cell(c("u"), most) - 1, cell(c("u"), most) + 1)))
+    once = boxes.alike(templates.select(key, "id", c(at).alias("v")), "id", key, "v")  # of templates at one place the smallest id is nearest
+    j = left.join(once.select(key, c("id").alias("template"), "v", cell(c("v"), most).alias("__c")), [key, "__c"]).withColumn("d", F.abs(c("u") - c("v"))).filter(c("d") <= most)
+    near = j.withColumn("rn", F.row_number().over(Window.partitionBy(key, "u").orderBy("d", "template"))).filter("rn = 1").select(key, "u", "template")
+    return rows.select(key, "id", c(at).alias("u")).join(near, [key, "u"], "left").select(key, "id", "template")
 
 
 def follow_up(before: DataFrame, after: DataFrame, key: str, metrics: list[str]) -> DataFrame:
