@@ -34,3 +34,10 @@ def test_registry_import_of_made_ids_that_parts_have(spark, folder):
 
 def test_additive_patch_of_made_ids_that_parts_have(spark, folder):
     equals_sql(spark, folder, "additive_patch")
+
+
+def test_pair_recovery_of_equal_gaps(spark, tmp_path):
+    """A track on which supports before and after are equally far, so that the second criterion decides."""
+    where = "l_suppkey IN (434, 748) AND l_linenumber IN (2, 7)"
+    duckdb.sql(f"COPY (SELECT * FROM '/root/testdata/sf0.1/lineitem.parquet' WHERE {where}) TO '{tmp_path}/lineitem.parquet' (FORMAT parquet)")
+    equals_sql(spark, str(tmp_path), "pair_recovery")
