@@ -5,7 +5,7 @@ import time
 import pytest
 from test_catalogue import SF
 
-from strataspark.operators import assets, boxes, chains, profiles
+from strataspark.operators import assets, boxes, chains, closing, profiles
 from strataspark.plans import catalogue
 
 
@@ -76,3 +76,18 @@ def test_many_seeds_at_few_places(spark):
     (r,) = profiles.column_grid(seeds, "key", "s", 12.0, 10.0, 14.0).collect()
     assert (r.seeds, r.spacing, r.phase % 12, r.worst) == (90_000, pytest.approx(12), pytest.approx(5), pytest.approx(0, abs=1e-9))
     assert time.time() - began < 60
+
+
+def test_candidates_of_one_place_are_linked_once(spark, monkeypatch):
+    join = closing.radius_join
+
+    def watched(a, b, radius):
+        assert a.count() == b.count() == 5
+        return join(a, b, radius)
+
+    monkeypatch.setattr(closing, "radius_join", watched)
+    same = [(k, 0.0, 0.0, 0.0, 2.0, float(k % 3)) for k in (4, 5, 6, 7, 8)]  # 5 and 8 have the best score of their place
+    rest = [(1, 1.0, 0.0, 0.0, 2.0, 1.0), (2, 9.0, 0.0, 0.0, 2.0, 0.5), (20, 30.0, 0.0, 1.0, 1.0, 1.0), (21, 30.0, 0.0, 1.0, 1.0, 2.0)]  # the last two have no height, so they do not reach each other
+    df = spark.createDataFrame(same + rest, "id long, x double, y double, z0 double, z1 double, score double")
+    got = {r.seed_id: r.n for r in closing.merged_candidates(df, 3.0, 0.4, "score").collect()}
+    assert got == {5: 6, 2: 1, 20: 1, 21: 1}
